@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import langid, mixing, near_dedup, packing, quality
-from quern.llm.queries import DOMAIN_TARGETS, domains_of, language_model, table, tokenizer_path
+from quern.llm.queries import domains_of, language_model, table, tokenizer_path
 from quern.llm.storage import materialize
 
 #: Least score of a kept document's main language.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Low quality has left by the time of mixing.
+MIX_TARGETS = {"clean": 0.96, "toxic": 0.04}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, domains_of(table(spark, sf_dir, "labels")), DOMAIN_TARGETS, anchor="clean")
+    mixed = mixing.mix(docs, domains_of(table(spark, sf_dir, "labels")), MIX_TARGETS, anchor="clean")
     return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 

@@ -80,9 +80,10 @@ def rate(share: Column, steps: list[list[float]]) -> Column:
     return F.aggregate(moves, out, lambda r, s: F.greatest(F.lit(0.0), r - sum((share[k] * s[k] for k in range(n)), F.lit(0.0))))
 
 
-def solve(table: DataFrame, targets: list[float]) -> tuple[list[list[float]], list[float]]:
-    """Steps of the projected gradient, and the totals reached. table: tokens, share. targets: wanted domain tokens.
+def solve(table: DataFrame, shares: list[float], total: float | None, anchor: int | None) -> tuple[list[list[float]], list[float]]:
+    """Steps of the projected gradient, and the totals reached. table: tokens, share. shares: wanted shares of total.
 
+    With an anchor, its domain takes no step, and what it holds sets the total that the others' targets are shares of.
     The gradient is taken in the metric of the domains' overlap among documents that still have a rate, so that domains
     that share documents don't slow each other down."""
     n = len(targets)
@@ -96,17 +97,23 @@ def solve(table: DataFrame, targets: list[float]) -> tuple[list[list[float]], li
         sums += [F.sum(live * share[k] * share[m]).alias(f"g{k}_{m}") for k in range(n) for m in range(k, n)]
         got = table.withColumn("r", r).agg(*sums).first()
         totals = [float(got[f"t{k}"] or 0) for k in range(n)]
-        off = [totals[k] - targets[k] for k in range(n)]
-        if max(abs(x) for x in off) <= TOLERANCE * max(1.0, sum(targets)) or len(steps) == STEPS:
+        wanted = totals[anchor] / shares[anchor] if anchor is not None else float(total or 0)
+        off = [totals[k] - shares[k] * wanted for k in range(n)]
+        if max(abs(x) for x in off) <= TOLERANCE * max(1.0, wanted) or len(steps) == STEPS:
             break
         overlap = [[float(got[f"g{min(k, m)}_{max(k, m)}"] or 0) for m in range(n)] for k in range(n)]
-        ridge = 1e-9 + 1e-7 * max(overlap[k][k] for k in range(n))
-        steps.append(solved([[overlap[k][m] + (ridge if k == m else 0.0) for m in range(n)] for k in range(n)], off))
+        if anchor is not None:
+            # the anchor's own total moves with the others' steps, and their targets with it
+            overlap = [[overlap[k][m] - shares[k] / shares[anchor] * overlap[anchor][m] for m in range(n)] for k in range(n)]
+        free = [k for k in range(n) if k != anchor]
+        ridge = 1e-9 + 1e-7 * max(abs(overlap[k][k]) for k in free)
+        found = solved([[overlap[k][m] + (ridge if k == m else 0.0) for m in free] for k in free], [off[k] for k in free])
+        steps.append([found[free.index(k)] if k in free else 0.0 for k in range(n)])
     return steps, totals
 
 
 def solved(matrix: list[list[float]], right: list[float]) -> list[float]:
-    """The solution of a small positive definite system, by elimination."""
+    """The solution of a small regular system, by elimination."""
     n = len(right)
     rows = [[*m, r] for m, r in zip(matrix, right, strict=True)]
     for k in range(n):
@@ -130,8 +137,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     """The carried columns of docs (all by default) with tokens, posteriors (domain to chance), rate and copies.
 
     labels: id_col and domain_col for some ids; max_labelled of them, with the lowest id hashes, train the classifier.
-    targets: domain shares, made to add up to 1. total: wanted tokens; by default those of docs, or, with anchor, as many
-    as leave the anchor domain's expected tokens what they are. rate is the expected number of times that a document
+    targets: domain shares, made to add up to 1. total: wanted tokens, by default those of docs. With
+    anchor, documents of that domain alone keep the rate 1, and the others are brought to their targets beside it. rate is the expected number of times that a document
     is used, copies a draw with that mean by the hash of the id: floor(rate + u). A domain that no document belongs to
     can't be filled: its total stays what the posteriors give. Null texts have no tokens and keep the classifier's
     prior; null ids draw like any other value; repeated rows draw alike; an empty table gives an empty result. Columns
@@ -145,12 +152,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     kept = [c for c in (docs.columns if carry is None else carry) if c not in added]
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     table = materialize(docs.select(*kept, n_tokens(F.col(text_col)).alias("tokens"), model.posteriors(F.col(text_col)).alias("share"), unit.alias("unit__")))
-    mass = table.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col("share")[k]).alias(f"t{k}") for k in range(len(domains))]).first()
-    if total is None:
-        total = float(mass["all"] or 0)
-        if anchor is not None and targets[anchor] > 0:
-            total = float(mass[f"t{domains.index(anchor)}"] or 0) * scale / targets[anchor]
-    steps, _ = solve(table, [targets[d] / scale * total for d in domains])
+    if total is None and anchor is None:
+        total = float(table.agg(F.sum("tokens")).first()[0] or 0)
+    steps, _ = solve(table, [targets[d] / scale for d in domains], total, None if anchor is None else domains.index(anchor))
     rated = table.withColumn("rate", F.round(rate(F.col("share"), steps), 6))
     named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("share"))
     return rated.select(*kept, "tokens", named.alias("posteriors"), "rate", F.floor(F.col("rate") + F.col("unit__")).cast("int").alias("copies"))
