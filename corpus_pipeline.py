@@ -15,14 +15,19 @@ LEAST_LANGUAGE_SCORE = 0.5
 MIX_TARGETS = {"clean": 0.96, "toxic": 0.04}
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The columns that stages read, and each row as it is in one more, so that no column of docs can clash with a stage's."""
+    return docs.select("doc_id", "text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdicts = quality.quality_filter(docs, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return verdicts.where("kept").select(*docs.columns)
+    verdicts = quality.quality_filter(whole_rows(docs), keep=("row",))
+    return verdicts.where("kept").select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = langid.predict(docs, language_model(docs), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    out = langid.predict(whole_rows(docs), language_model(docs), keep=("row",))
+    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +37,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, domains_of(table(spark, sf_dir, "labels")), MIX_TARGETS, anchor="clean")
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    mixed = mixing.mix(whole_rows(docs), domains_of(table(spark, sf_dir, "labels")), MIX_TARGETS, anchor="clean", carry=["row"])
+    return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

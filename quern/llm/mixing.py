@@ -81,13 +81,13 @@ def rate(share: Column, steps: list[list[float]]) -> Column:
 
 
 def solve(table: DataFrame, shares: list[float], total: float | None, anchor: int | None) -> tuple[list[list[float]], list[float]]:
-    """Steps of the projected gradient, and the totals reached. table: tokens, share. shares: wanted shares of total.
+    """Steps of the projected gradient, and the totals reached. table: tokens, share__. shares: wanted shares of total.
 
     With an anchor, its domain takes no step, and what it holds sets the total that the others' targets are shares of.
     The gradient is taken in the metric of the domains' overlap among documents that still have a rate, so that domains
     that share documents don't slow each other down."""
-    n = len(targets)
-    share, tokens = F.col("share"), F.col("tokens")
+    n = len(shares)
+    share, tokens = F.col("share__"), F.col("tokens")
     steps: list[list[float]] = []
     totals: list[float] = []
     for _ in range(STEPS + 1):
@@ -148,13 +148,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     chosen = sample_of(labels.where(F.col(domain_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("l_id"), F.col(domain_col).alias("l_domain")).dropDuplicates(["l_id"]), "l_id", max_labelled)
     labelled = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text")).join(F.broadcast(chosen), "l_id")
     model = fit_classifier(materialize(labelled), domains, text_col="l_text", domain_col="l_domain")
-    added = ("tokens", "posteriors", "rate", "copies")
+    added = ("tokens", "posteriors", "rate", "copies", "share__", "unit__")
     kept = [c for c in (docs.columns if carry is None else carry) if c not in added]
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    table = materialize(docs.select(*kept, n_tokens(F.col(text_col)).alias("tokens"), model.posteriors(F.col(text_col)).alias("share"), unit.alias("unit__")))
+    table = materialize(docs.select(*kept, n_tokens(F.col(text_col)).alias("tokens"), model.posteriors(F.col(text_col)).alias("share__"), unit.alias("unit__")))
     if total is None and anchor is None:
         total = float(table.agg(F.sum("tokens")).first()[0] or 0)
     steps, _ = solve(table, [targets[d] / scale for d in domains], total, None if anchor is None else domains.index(anchor))
-    rated = table.withColumn("rate", F.round(rate(F.col("share"), steps), 6))
-    named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("share"))
+    rated = table.withColumn("rate", F.round(rate(F.col("share__"), steps), 6))
+    named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("share__"))
     return rated.select(*kept, "tokens", named.alias("posteriors"), "rate", F.floor(F.col("rate") + F.col("unit__")).cast("int").alias("copies"))
