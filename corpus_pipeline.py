@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.llm import langid, mixing, near_dedup, packing, quality
 from quern.llm.queries import domains_of, language_model, table, tokenizer_path
 from quern.llm.storage import materialize
+from quern.session import ship
 
 #: Least score of a kept document's main language.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -21,16 +22,19 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     verdicts = quality.quality_filter(whole_rows(docs), keep=("row",))
     return verdicts.where("kept").select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     out = langid.predict(whole_rows(docs), language_model(docs), keep=("row",))
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     groups = near_dedup.near_duplicates(docs, shingle=5, percent=80)
     dropped = materialize(groups.where("not kept").select("doc_id"))
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
@@ -42,6 +46,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return packing.pack(docs, tokenizer=tokenizer_path(), capacity=1024, end_id=2)
 
 

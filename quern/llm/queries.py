@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import fingerprint, html_extract, langid, licenses, mixing, near_dedup, packing, quality, sharding, toxicity
 
 SHARDS = 24
@@ -22,7 +23,7 @@ def tokenizer_path() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
