@@ -133,7 +133,7 @@ def coverage(region: list[int], template: list[int]) -> tuple[float, float, int,
 class Templates:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
-        words = word_hashes(pa.array([templates[n] for n in self.names]))
+        words = word_hashes(pa.array([templates[n] for n in self.names], pa.string()))
         self.words = [words.hash[words.bounds[k] : words.bounds[k + 1]] for k in range(len(self.names))]
         self.lists = [[int(x) for x in w] for w in self.words]
         self.sets = [np.unique(w) for w in self.words]

@@ -24,8 +24,9 @@ from .text_arrays import U64, Words, mix, slices, string_buffers
 PREFIXES = (4, 5, 6)
 BLOCK = 64
 NEIGHBOURS = 15
-#: Examples used at most, features kept at most, examples that a feature needs, least lower bound of its share of toxic examples.
-MAX_EXAMPLES, MAX_FEATURES, LEAST_EXAMPLES, LEAST_SHARE = 16_384, 4096, 4, 0.5
+#: Examples used at most, features kept at most, least lower bound of a kept feature's share of toxic examples, and the
+#: chance that any feature is kept by accident.
+MAX_EXAMPLES, MAX_FEATURES, LEAST_SHARE, CHANCE = 16_384, 4096, 0.5, 0.05
 #: Weight of the prior in a vote, as if that much cosine stood for examples without any feature.
 PRIOR = 0.25
 
@@ -168,10 +169,17 @@ def _associated(examples: DataFrame) -> tuple[np.ndarray, int]:
                 if len(names):
                     yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(np.add.reduceat(label, at).astype(np.int64)), pa.array(np.diff(np.append(at, len(found))).astype(np.int64))], ["feature", "pos", "n"])
 
-    table = examples.mapInArrow(run, "feature bigint, pos bigint, n bigint").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    table = materialize(examples.mapInArrow(run, "feature bigint, pos bigint, n bigint").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")))
+    base = examples.agg(((F.sum("label") + 0.5) / (F.count("*") + 1)).alias("base")).first()["base"]
+    tried = max(table.count(), 1)
+    if base is None:
+        return np.empty(0, U64)
     share, z = F.col("pos") / F.col("n"), 1.64
     lower = (share + z * z / (2 * F.col("n")) - z * F.sqrt(share * (1 - share) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))) / (1 + z * z / F.col("n"))
-    kept = table.where((F.col("pos") >= LEAST_EXAMPLES) & (lower >= LEAST_SHARE)).orderBy(F.col("pos").desc(), lower.desc(), "feature").limit(MAX_FEATURES)
+    # Chernoff bound on the chance that a feature without a tie to the label looks like this, over all features tried
+    surprise = F.col("n") * (share * F.ln(share / base) + F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0))
+    tied = (F.col("pos") > 0) & (lower >= LEAST_SHARE) & (share > base) & (surprise >= float(np.log(tried / CHANCE)))
+    kept = table.where("pos > 0").where(tied).orderBy(surprise.desc(), "feature").limit(MAX_FEATURES)
     return kept.select("feature").toArrow().column("feature").to_numpy().astype(np.int64).view(U64)
 
 
