@@ -124,7 +124,7 @@ def delegations(spark: SparkSession, path: str) -> DataFrame:
     from ..functions import net
 
     first = F.when(F.col("f")[2] == "ipv4", net.ipv4_number(F.col("f")[3]))
-    return rows.select(F.col("f")[0].alias("registry"), F.col("f")[1].alias("country"), F.col("f")[2].alias("kind"), F.col("f")[3].alias("start"), F.col("f")[4].cast("bigint").alias("size"), F.try_to_date(F.col("f")[5], F.lit("yyyyMMdd")).alias("day"), F.col("f")[6].alias("status"), first.alias("first"), (first + F.col("f")[4].cast("bigint") - 1).alias("last"))
+    return rows.select(F.col("f")[0].alias("registry"), F.col("f")[1].alias("country"), F.col("f")[2].alias("kind"), F.col("f")[3].alias("start"), F.col("f")[4].cast("bigint").alias("size"), F.try_to_date(F.col("f")[5], "yyyyMMdd").alias("day"), F.col("f")[6].alias("status"), first.alias("first"), (first + F.col("f")[4].cast("bigint") - 1).alias("last"))
 
 
 def jdbc(spark: SparkSession, url: str, table: str, *, partition: tuple[str, int, int, int] | None = None, **options: str) -> DataFrame:
