@@ -22,10 +22,10 @@ GAMMA = 1.05
 SPREAD = 3.0
 #: Measure: SQL over the base counts, and the slack above the fence.
 MEASURES = {
-    "symbol_rate": ("n_symbols / n_words", 0.2),
-    "dup_line_rate": ("n_dup_lines / n_lines", 0.35),
-    "repeat_rate": ("n_repeat_words / n_words", 0.35),
-    "mean_word": ("word_chars / n_words", 2.0),
+    "symbol_rate": ("n_symbols / nullif(n_words, 0)", 0.2),
+    "dup_line_rate": ("n_dup_lines / nullif(n_lines, 0)", 0.35),
+    "repeat_rate": ("n_repeat_words / nullif(n_words, 0)", 0.35),
+    "mean_word": ("word_chars / nullif(n_words, 0)", 2.0),
 }
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
