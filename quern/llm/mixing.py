@@ -8,24 +8,31 @@ of those rows and are not stored."""
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize
 
-MAX_LABELLED, MAX_WORDS, LEAST_DOCS = 8192, 256, 8
+MAX_LABELLED, MAX_WORDS, LEAST_DOCS, PARTS = 8192, 256, 8, 64
 STEPS, TOLERANCE = 40, 1e-6
 
 
 def words_of(text: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+", " ")), " ", -1)
+    """Lower-case words between white space; the first and the last may be empty."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+", -1)
 
 
-def n_tokens(text: Column) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def n_tokens(words: Column) -> Column:
     """Size of a text in tokens, taken as its words; a text without words weighs nothing."""
-    words = words_of(text)
-    return F.when(words[0] == "", F.lit(0)).otherwise(F.size(words)).cast("bigint")
+    return (F.size(words) - (words[0] == "").cast("int") - ((F.size(words) > 1) & (F.element_at(words, -1) == "")).cast("int")).cast("bigint")
 
 
 class Classifier:
@@ -34,20 +41,21 @@ class Classifier:
     def __init__(self, domains: list[str], prior: list[float], odds: dict[str, list[float]]):
         self.domains, self.prior, self.odds = domains, prior, odds
 
-    def posteriors(self, text: Column) -> Column:
+    def posteriors(self, words: Column) -> Column:
         """An array with a chance for each domain; the priors' for a text without any word that is known."""
-        n = len(self.domains)
         if not self.odds:
             scores = F.array(*[F.lit(p) for p in self.prior])
         else:
             names = sorted(self.odds)
             vocabulary = F.array(*[F.lit(w) for w in names])
-            table = F.create_map(*[x for w in names for x in (F.lit(w), F.array(*[F.lit(v) for v in self.odds[w]]))])
-            seen = F.array_intersect(words_of(text), vocabulary)
-            scores = F.aggregate(seen, F.array(*[F.lit(p) for p in self.prior]), lambda total, w: F.zip_with(total, F.element_at(table, w), lambda a, b: a + b))
-        shifted = lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s)))
-        normal = lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
-        return normal(shifted(scores)) if n > 1 else F.array(F.lit(1.0))
+            nothing = {"": [0.0] * len(self.domains)}
+            parts = [nothing | {w: self.odds[w] for w in names if zlib.crc32(w.encode()) % PARTS == k} for k in range(PARTS)]
+            # maps are searched from end to end, so words are dealt over many small ones
+            table = F.array(*[F.create_map(*[x for w, odds in part.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in odds]))]) for part in parts])
+            seen = F.array_intersect(words, vocabulary)
+            scores = F.aggregate(seen, F.array(*[F.lit(p) for p in self.prior]), lambda total, w: F.zip_with(total, F.element_at(F.element_at(table, (F.crc32(w) % PARTS + 1).cast("int")), w), lambda a, b: a + b))
+        above = let(scores, lambda s: let(F.array_max(s), lambda most: F.transform(s, lambda x: F.exp(x - most))))
+        return let(above, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda whole: F.transform(e, lambda x: x / whole)))
 
 
 def fit_classifier(labelled: DataFrame, domains: list[str], *, text_col: str = "text", domain_col: str = "domain") -> Classifier:
@@ -148,10 +156,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     chosen = sample_of(labels.where(F.col(domain_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("l_id"), F.col(domain_col).alias("l_domain")).dropDuplicates(["l_id"]), "l_id", max_labelled)
     labelled = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text")).join(F.broadcast(chosen), "l_id")
     model = fit_classifier(materialize(labelled), domains, text_col="l_text", domain_col="l_domain")
-    added = ("tokens", "posteriors", "rate", "copies", "share__", "unit__")
+    added = ("tokens", "posteriors", "rate", "copies", "read__", "share__", "unit__")
     kept = [c for c in (docs.columns if carry is None else carry) if c not in added]
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    table = materialize(docs.select(*kept, n_tokens(F.col(text_col)).alias("tokens"), model.posteriors(F.col(text_col)).alias("share__"), unit.alias("unit__")))
+    read = let(words_of(F.col(text_col)), lambda w: F.struct(n_tokens(w).alias("tokens"), model.posteriors(w).alias("share__")))
+    table = materialize(docs.select(*kept, read.alias("read__"), unit.alias("unit__")).select(*kept, "read__.tokens", "read__.share__", "unit__"))
     if total is None and anchor is None:
         total = float(table.agg(F.sum("tokens")).first()[0] or 0)
     steps, _ = solve(table, [targets[d] / scale for d in domains], total, None if anchor is None else domains.index(anchor))
