@@ -11,7 +11,7 @@ from quern.llm.storage import materialize
 from quern.session import ship
 
 #: Least score of a kept document's main language.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.3
 #: Low quality has left by the time of mixing.
 MIX_TARGETS = {"clean": 0.96, "toxic": 0.04}
 

@@ -26,10 +26,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _NOISE = frozenset("head nav header footer aside form button dialog menu label input fieldset legend".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _NOISE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menus sidebar sidebars aside footer header masthead topbar toolbar breadcrumb breadcrumbs "
+    "ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menus sidebar sidebars aside footer header masthead topbar toolbar breadcrumb breadcrumbs "
     "comment comments commentlist respond reply replies disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended "
     "widget widgets pagination pager skip copyright legal disclaimer".split()
 )
+_LAYOUT = frozenset("no has with without is hide show".split())
 _SECTIONS = frozenset("article aside blockquote body div dl fieldset figure footer form header main menu nav ol section table ul details dialog".split())
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
@@ -56,9 +57,10 @@ def _is_noise(tag: str, attributes: str) -> bool:
 
 
 def _names(value: str) -> bool:
-    """Whether one class or id stands for something beside the article: its first or last part is such a name."""
+    """Whether one class or id stands for something beside the article: its first or last part is such a name. Names
+    like no-sidebar tell how a page is laid out."""
     parts = _NAME.findall(value)
-    return bool(parts) and (parts[0] in _NOISE_NAMES or parts[-1] in _NOISE_NAMES) and not {"content", "article", "body", "text", "post", "entry"} & set(parts)
+    return bool(parts) and parts[0] not in _LAYOUT and (parts[0] in _NOISE_NAMES or parts[-1] in _NOISE_NAMES)
 
 
 class _Line:
@@ -97,6 +99,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         else:
             if tag == "a":
                 links = 1
+            if tag in ("body", "main"):  # neither stands inside a head, a menu or the like: what is open there was never closed
+                stack, noise, marked = [], 0, 0
             if tag not in _VOID and not m[3].endswith("/"):
                 if tag == "p" and stack and stack[-1][0] == "p":
                     _, n, a = stack.pop()

@@ -16,6 +16,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><
         ("<article><h1>Head  line</h1><p><b>Some <i>text</i> &lt;3&nbsp;x<br><p>Short.<p>" + "word " * 50 + "</article>", "Head line\nSome text <3 x\nShort.\n" + ("word " * 50).strip()),
         ("<main><p>" + "alpha " * 30 + "</p><aside>beside</aside><div class='cookie-notice'>We use cookies</div><form><p>Name</p></form><p>end</p><section id=comments><p>First!</p></section></main>", ("alpha " * 30).strip() + "\nend"),
         ("<div class=content><h2>Title</h2><p>" + "beta " * 40 + "</p><p>tail</p></div><div class='sidebar'><p>" + "links " * 30 + "</p></div>", "Title\n" + ("beta " * 40).strip() + "\ntail"),
+        ("<div class='wrap no-sidebar'><nav>open<main><header>Top</header><p>" + "gamma " * 20 + "</p><div class='article-footer'>by me</div></main></div>", ("gamma " * 20).strip()),
         ("<article></article>", ""),
         ("<article>a &#233;\t\n b</article>", "a é b"),
     ],
