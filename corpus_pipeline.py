@@ -41,7 +41,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(whole_rows(docs), domains_of(table(spark, sf_dir, "labels")), MIX_TARGETS, anchor="clean", carry=["row"])
+    mixed = mixing.mix(whole_rows(docs), domains_of(table(spark, sf_dir, "labels")), MIX_TARGETS, anchor="clean", free_anchor=True, carry=["row"])
     return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 

@@ -1,6 +1,6 @@
 """Soft-membership mixing of sources to target weights, with DataFrame functions only.
 
-A Bernoulli naive Bayes classifier over the words that tell the labelled domains apart predicts each document's domain
+A Bernoulli naive Bayes classifier over the words and word beginnings that tell the labelled domains apart predicts each document's domain
 posteriors. Document rates start at 1 and follow the projected gradient of the least squares between expected domain
 token totals and targets; a rate never falls below 0. Every step reads one row of domain totals back; rates are kept as a function
 of those rows and are not stored."""
@@ -25,6 +25,11 @@ def words_of(text: Column) -> Column:
     return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+", -1)
 
 
+def features(words: Column) -> Column:
+    """The words, and their first four characters with a star."""
+    return F.concat(words, F.transform(words, lambda w: F.concat(F.left(w, F.lit(4)), F.lit("*"))))
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value worked out once however often use names it."""
     return F.transform(F.array(value), use)[0]
@@ -36,13 +41,13 @@ def n_tokens(words: Column) -> Column:
 
 
 class Classifier:
-    """Log-odds of the words kept, for each domain, and the log priors."""
+    """For each domain, the log-odds of the features kept, and the log prior of a document without any of them."""
 
     def __init__(self, domains: list[str], prior: list[float], odds: dict[str, list[float]]):
         self.domains, self.prior, self.odds = domains, prior, odds
 
     def posteriors(self, words: Column) -> Column:
-        """An array with a chance for each domain; the priors' for a text without any word that is known."""
+        """An array with a chance for each domain."""
         if not self.odds:
             scores = F.array(*[F.lit(p) for p in self.prior])
         else:
@@ -52,7 +57,7 @@ class Classifier:
             parts = [nothing | {w: self.odds[w] for w in names if zlib.crc32(w.encode()) % PARTS == k} for k in range(PARTS)]
             # maps are searched from end to end, so words are dealt over many small ones
             table = F.array(*[F.create_map(*[x for w, odds in part.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in odds]))]) for part in parts])
-            seen = F.array_intersect(words, vocabulary)
+            seen = F.array_intersect(features(words), vocabulary)
             scores = F.aggregate(seen, F.array(*[F.lit(p) for p in self.prior]), lambda total, w: F.zip_with(total, F.element_at(F.element_at(table, (F.crc32(w) % PARTS + 1).cast("int")), w), lambda a, b: a + b))
         above = let(scores, lambda s: let(F.array_max(s), lambda most: F.transform(s, lambda x: F.exp(x - most))))
         return let(above, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda whole: F.transform(e, lambda x: x / whole)))
@@ -60,7 +65,7 @@ class Classifier:
 
 def fit_classifier(labelled: DataFrame, domains: list[str], *, text_col: str = "text", domain_col: str = "domain") -> Classifier:
     """labelled is a bounded sample. At most MAX_WORDS rows for each domain reach the driver."""
-    rows = labelled.where(F.col(domain_col).isin(domains)).select(F.col(domain_col).alias("domain"), F.array_distinct(words_of(F.col(text_col))).alias("words"))
+    rows = labelled.where(F.col(domain_col).isin(domains)).select(F.col(domain_col).alias("domain"), F.array_distinct(features(words_of(F.col(text_col)))).alias("words"))
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     prior = [math.log((sizes.get(d, 0) + 1) / (total + len(domains))) for d in domains]
@@ -74,7 +79,8 @@ def fit_classifier(labelled: DataFrame, domains: list[str], *, text_col: str = "
     odds = {}
     for r in kept:
         chance = [(r[f"c{k}"] + 0.1) / (sizes.get(d, 0) + 0.2) for k, d in enumerate(domains)]
-        odds[r["word"]] = [math.log(c) for c in chance]
+        odds[r["word"]] = [math.log(c / (1 - c)) for c in chance]
+        prior = [p + math.log(1 - c) for p, c in zip(prior, chance, strict=True)]
     return Classifier(domains, prior, odds)
 
 
@@ -88,13 +94,13 @@ def rate(share: Column, steps: list[list[float]]) -> Column:
     return F.aggregate(moves, out, lambda r, s: F.greatest(F.lit(0.0), r - sum((share[k] * s[k] for k in range(n)), F.lit(0.0))))
 
 
-def solve(table: DataFrame, shares: list[float], total: float | None, anchor: int | None) -> tuple[list[list[float]], list[float]]:
-    """Steps of the projected gradient, and the totals reached. table: tokens, share__. shares: wanted shares of total.
+def solve(table: DataFrame, targets: list[float], free: list[int]) -> tuple[list[list[float]], list[float]]:
+    """Steps of the projected gradient, and the totals reached. table: tokens, share__. targets: wanted domain tokens.
+    free: the domains that are held to their targets; the others take no step.
 
-    With an anchor, its domain takes no step, and what it holds sets the total that the others' targets are shares of.
     The gradient is taken in the metric of the domains' overlap among documents that still have a rate, so that domains
     that share documents don't slow each other down."""
-    n = len(shares)
+    n = len(targets)
     share, tokens = F.col("share__"), F.col("tokens")
     steps: list[list[float]] = []
     totals: list[float] = []
@@ -102,20 +108,15 @@ def solve(table: DataFrame, shares: list[float], total: float | None, anchor: in
         r = rate(share, steps)
         live = F.when(F.col("r") > 0, F.col("tokens")).otherwise(F.lit(0.0))
         sums = [F.sum(tokens * share[k] * F.col("r")).alias(f"t{k}") for k in range(n)]
-        sums += [F.sum(live * share[k] * share[m]).alias(f"g{k}_{m}") for k in range(n) for m in range(k, n)]
+        sums += [F.sum(live * share[k] * share[m]).alias(f"g{k}_{m}") for k in free for m in free if k <= m]
         got = table.withColumn("r", r).agg(*sums).first()
         totals = [float(got[f"t{k}"] or 0) for k in range(n)]
-        wanted = totals[anchor] / shares[anchor] if anchor is not None else float(total or 0)
-        off = [totals[k] - shares[k] * wanted for k in range(n)]
-        if max(abs(x) for x in off) <= TOLERANCE * max(1.0, wanted) or len(steps) == STEPS:
+        off = [totals[k] - targets[k] for k in free]
+        if max((abs(x) for x in off), default=0.0) <= TOLERANCE * max(1.0, sum(targets)) or len(steps) == STEPS:
             break
-        overlap = [[float(got[f"g{min(k, m)}_{max(k, m)}"] or 0) for m in range(n)] for k in range(n)]
-        if anchor is not None:
-            # the anchor's own total moves with the others' steps, and their targets with it
-            overlap = [[overlap[k][m] - shares[k] / shares[anchor] * overlap[anchor][m] for m in range(n)] for k in range(n)]
-        free = [k for k in range(n) if k != anchor]
-        ridge = 1e-9 + 1e-7 * max(abs(overlap[k][k]) for k in free)
-        found = solved([[overlap[k][m] + (ridge if k == m else 0.0) for m in free] for k in free], [off[k] for k in free])
+        overlap = [[float(got[f"g{min(k, m)}_{max(k, m)}"] or 0) for m in free] for k in free]
+        ridge = 1e-9 + 1e-7 * max(overlap[k][k] for k in range(len(free)))
+        found = solved([[x + (ridge if k == m else 0.0) for m, x in enumerate(row)] for k, row in enumerate(overlap)], off)
         steps.append([found[free.index(k)] if k in free else 0.0 for k in range(n)])
     return steps, totals
 
@@ -141,12 +142,13 @@ def sample_of(labels: DataFrame, id_col: str, most: int) -> DataFrame:
     return labels.orderBy(F.xxhash64(F.col(id_col), F.lit("labelled")), id_col).limit(most)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total: float | None = None, anchor: str | None = None, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", carry: list[str] | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total: float | None = None, anchor: str | None = None, free_anchor: bool = False, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", carry: list[str] | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The carried columns of docs (all by default) with tokens, posteriors (domain to chance), rate and copies.
 
     labels: id_col and domain_col for some ids; max_labelled of them, with the lowest id hashes, train the classifier.
-    targets: domain shares, made to add up to 1. total: wanted tokens, by default those of docs. With
-    anchor, documents of that domain alone keep the rate 1, and the others are brought to their targets beside it. rate is the expected number of times that a document
+    targets: domain shares, made to add up to 1. total: wanted tokens, by default those of docs or, with anchor, as many
+    as leave that domain the expected tokens that it has. With free_anchor the anchor isn't held to its total: its own
+    documents keep the rate 1, and only the other domains are brought to their targets. rate is the expected number of times that a document
     is used, copies a draw with that mean by the hash of the id: floor(rate + u). A domain that no document belongs to
     can't be filled: its total stays what the posteriors give. Null texts have no tokens and keep the classifier's
     prior; null ids draw like any other value; repeated rows draw alike; an empty table gives an empty result. Columns
@@ -161,9 +163,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     read = let(words_of(F.col(text_col)), lambda w: F.struct(n_tokens(w).alias("tokens"), model.posteriors(w).alias("share__")))
     table = materialize(docs.select(*kept, read.alias("read__"), unit.alias("unit__")).select(*kept, "read__.tokens", "read__.share__", "unit__"))
-    if total is None and anchor is None:
-        total = float(table.agg(F.sum("tokens")).first()[0] or 0)
-    steps, _ = solve(table, [targets[d] / scale for d in domains], total, None if anchor is None else domains.index(anchor))
+    if total is None:
+        held = F.col("tokens") if anchor is None else F.col("tokens") * F.col("share__")[domains.index(anchor)] * F.lit(scale / targets[anchor])
+        total = float(table.agg(F.sum(held)).first()[0] or 0)
+    steps, _ = solve(table, [targets[d] / scale * total for d in domains], [k for k, d in enumerate(domains) if not (free_anchor and d == anchor)])
     rated = table.withColumn("rate", F.round(rate(F.col("share__"), steps), 6))
     named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("share__"))
     return rated.select(*kept, "tokens", named.alias("posteriors"), "rate", F.floor(F.col("rate") + F.col("unit__")).cast("int").alias("copies"))

@@ -171,12 +171,22 @@ def test_expected_totals_match_targets(domains):
     assert abs(copies - 20000) < 2000
 
 
-def test_anchor_keeps_its_documents(domains):
+def test_anchor_sets_the_total(domains):
     docs, labels = domains
-    rows = mixing.mix(docs, labels, {"clean": 0.95, "toxic": 0.05}, anchor="clean").collect()
+    targets = {"clean": 0.9, "toxic": 0.04, "low": 0.06}
+    rows = mixing.mix(docs, labels, targets, anchor="clean").collect()
+    before = sum(r.tokens * r.posteriors["clean"] for r in rows)
     got = totals(rows)
-    assert abs(got["toxic"] / sum(got.values()) - 0.05) < 1e-4
+    assert all(abs(got[d] - before * targets[d] / 0.9) < 2 for d in targets)
+
+
+def test_free_anchor_keeps_its_documents(domains):
+    docs, labels = domains
+    rows = mixing.mix(docs, labels, {"clean": 0.95, "toxic": 0.05}, anchor="clean", free_anchor=True).collect()
+    before = sum(r.tokens * r.posteriors["clean"] for r in rows)
+    assert abs(totals(rows)["toxic"] - before * 0.05 / 0.95) < 2
     assert all(r.copies == 1 for r in rows if r.posteriors["clean"] > 0.999999)
+    assert max(r.rate for r in rows) <= 1
 
 
 def test_mixing_edges(spark, domains):
