@@ -5,12 +5,15 @@ the least value of the set under one hash function. Signatures are cut into CHUN
 signatures that differ in at most MOST symbols have, by the pigeonhole principle, a chunk with at most one difference
 (MOST < 2 * CHUNKS); so each chunk is indexed once for each symbol that may differ, with that symbol left out, and
 every pair within the signature distance shares an index key. At the similarity of 0.8 a pair's distance exceeds MOST
-with a chance of 1 in 10,000; above it the chance falls fast. Every candidate is confirmed on the full sets.
+with a chance of 1 in 10,000; above it the chance falls fast. Candidates within the distance must also agree in LIKE of
+LONG further symbols of 8 bits, four standard deviations below what a similarity of 0.8 gives, and are then confirmed on
+the full sets.
 
 No group is expanded into its pairs. Equal sets become one class first. Within a key each class is tested against the
 key's smallest class only, and what is linked becomes one component. A second pass looks only at keys that still hold
-several components and compares, in blocks of bounded size, classes of different components; pairs beyond the signature
-distance are left there, the rest is confirmed, so that no link between components is lost."""
+several components and compares, in blocks of bounded size, classes of different components; a pair that shares several
+keys is looked at under the first of them only, pairs beyond the signature distance are left there, and the rest is
+confirmed, so that no link between components is lost."""
 
 from __future__ import annotations
 
@@ -28,19 +31,24 @@ from .text_arrays import U64, Words, mix, shingle_sets, slices, string_buffers
 POSITIONS, WIDTH = 32, 4
 CHUNKS = POSITIONS // WIDTH
 MOST = 2 * CHUNKS - 1
-BLOCK = 256
+LONG = 256
+#: Long symbols that must agree: chance matches of 8 bits count, too.
+LIKE = int(LONG * (0.8 + 0.2 / 256) - 4 * (LONG * 0.8 * 0.2) ** 0.5)
+#: Rows in a block of a comparison, and members in a group of a confirmation.
+BLOCK, GROUP = 1024, 256
 
 _generator = np.random.default_rng(20240229)
-_FACTORS = _generator.integers(1, 1 << 63, POSITIONS, dtype=U64) * U64(2) + U64(1)
-_TERMS = _generator.integers(0, 1 << 63, POSITIONS, dtype=U64)
+_FACTORS = _generator.integers(1, 1 << 63, POSITIONS + LONG, dtype=U64) * U64(2) + U64(1)
+_TERMS = _generator.integers(0, 1 << 63, POSITIONS + LONG, dtype=U64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The 16-bit symbols of a non-empty set."""
-    least = np.empty(POSITIONS, U64)
-    for k in range(0, POSITIONS, 8):
+def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The POSITIONS 16-bit symbols and the LONG 8-bit symbols of a non-empty set."""
+    least = np.empty(POSITIONS + LONG, U64)
+    for k in range(0, POSITIONS + LONG, 8):
         least[k : k + 8] = (shingles[None, :] * _FACTORS[k : k + 8, None] + _TERMS[k : k + 8, None]).min(axis=1)
-    return (mix(least) & U64(0xFFFF)).astype(np.uint16)
+    least = mix(least)
+    return (least[:POSITIONS] & U64(0xFFFF)).astype(np.uint16), (least[POSITIONS:] & U64(0xFF)).astype(np.uint8)
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -57,29 +65,34 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits of the whole set), sig; one row per row of docs."""
+    """doc_id, n_shingles, set_key (128 bits of the whole set), sig, long; one row per row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words = Words(*string_buffers(piece.column("text")), lower=True)
-                sizes, keys, sigs = [], [], []
+                sizes, keys, sigs, longs = [], [], [], []
                 for found in shingle_sets(words, piece.num_rows, shingle):
                     sizes.append(len(found))
                     if len(found):
                         both = np.array([np.bitwise_xor.reduce(mix(found + U64(1))), np.add.reduce(mix(found ^ U64(0x5851F42D4C957F2D)))], U64)
                         keys.append(both.tobytes())
-                        sigs.append(signature(found).tobytes())
+                        short, long = signature(found)
+                        sigs.append(short.tobytes())
+                        longs.append(long.tobytes())
                     else:
                         keys.append(None)
                         sigs.append(None)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig"])
+                        longs.append(None)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(longs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig", "long"])
 
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary")
+    return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, long binary")
 
 
 def _members(classes: DataFrame) -> DataFrame:
+    """key, id: the index entries of every class."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -87,20 +100,34 @@ def _members(classes: DataFrame) -> DataFrame:
                 symbols = [np.frombuffer(x, np.uint16) for x in piece.column("sig").to_pylist()]
                 keys = np.concatenate([index_keys(x) for x in symbols])
                 take = pa.array(np.repeat(np.arange(piece.num_rows), POSITIONS))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), piece.column("id").take(take), piece.column("sig").take(take)], ["key", "id", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), piece.column("id").take(take)], ["key", "id"])
+
+    return classes.select("id", "sig").mapInArrow(run, "key bigint, id bigint")
+
 
-    return classes.select("id", "sig").mapInArrow(run, "key bigint, id bigint, sig binary")
+def _rows(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    """Binary values of one length as the rows of a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _hex_distance(a: str, b: str) -> str:
-    """SQL: symbols in which two signatures differ, from their hexadecimal forms."""
-    return " + ".join(f"cast(substring({a}, {1 + 4 * k}, 4) <> substring({b}, {1 + 4 * k}, 4) as int)" for k in range(POSITIONS))
+def _within(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) whose signatures allow the similarity."""
+    sides = [classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("long").alias(f"long_{x}")) for x in ("a", "b")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                far = (_rows(batch.column("sig_a"), np.uint16) != _rows(batch.column("sig_b"), np.uint16)).sum(axis=1)
+                like = (_rows(batch.column("long_a"), np.uint8) == _rows(batch.column("long_b"), np.uint8)).sum(axis=1)
+                yield batch.select(["a", "b"]).filter(pa.array((far <= MOST) & (like >= LIKE)))
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets have 100 * intersection >= percent * union. Pairs are dealt by a, in
-    groups of about BLOCK members; each group holds a's text once."""
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    groups of about GROUP members; each group holds a's text once."""
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     dealt = materialize(pairs.join(sizes, "a").select("a", "b", "parts", F.pmod(F.xxhash64("b"), "parts").alias("part")))
     wanted = dealt.select(F.col("b").alias("id"), "a", "part").unionByName(dealt.select("a", "parts").distinct().select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -129,30 +156,44 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, sh
     return needed.groupBy("a", "part").applyInArrow(run, "a bigint, b bigint")
 
 
-def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a key and are within the signature distance."""
-    labelled = members.join(labels, "id", "left").select("key", "id", "sig", F.coalesce("label", "id").alias("label"))
+def first_shared_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of the first index key that a signature shares with each row of a matrix of signatures; -1 if none."""
+    differ = (b != a).reshape(len(b), CHUNKS, WIDTH)
+    errors = differ.sum(axis=2)
+    shared = errors <= 1
+    chunk = shared.argmax(axis=1)
+    rows = np.arange(len(b))
+    out = np.where(errors[rows, chunk] == 1, differ[rows, chunk].argmax(axis=1), 0)
+    return np.where(shared.any(axis=1), chunk * WIDTH + out, -1)
+
+
+def _across(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of classes of different components that share a key and whose signatures allow the similarity. shared: the
+    members of keys with several."""
+    labelled = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     open_keys = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).alias("parts"))
-    rows = labelled.join(open_keys, "key").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    rows = labelled.join(open_keys, "key").join(classes, "id").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
-    rows = rows.select("key", "id", "sig", "label", "part", other).select("key", "id", "sig", "label", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    rows = rows.select("key", "id", "sig", "long", "label", "part", other).select("key", "id", "sig", "long", "label", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        x, y = key[1].as_py(), key[2].as_py()
+        number, x, y = key[0].as_py() >> 48, key[1].as_py(), key[2].as_py()
         ids, labels_, parts = (table.column(c).to_numpy() for c in ("id", "label", "part"))
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+        sigs, longs = _rows(table.column("sig"), np.uint16), _rows(table.column("long"), np.uint8)
         left, right = np.flatnonzero(parts == x), np.flatnonzero(parts == y)
         out_a, out_b = [], []
         for i in left:
-            near = right[(labels_[right] != labels_[i]) & ((sigs[right] != sigs[i]).sum(axis=1) <= MOST)]
-            near = near[ids[near] > ids[i]] if x == y else near
+            near = right[(labels_[right] != labels_[i]) & (ids[right] > ids[i] if x == y else True)]
+            near = near[(sigs[near] != sigs[i]).sum(axis=1) <= MOST]
+            near = near[first_shared_key(sigs[i], sigs[near]) == number] if len(near) else near
+            near = near[(longs[near] == longs[i]).sum(axis=1) >= LIKE]
             if len(near):
                 out_a.append(np.minimum(ids[i], ids[near]))
                 out_b.append(np.maximum(ids[i], ids[near]))
         none = np.empty(0, np.int64)
         return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
 
-    return rows.groupBy("key", "x", "y").applyInArrow(run, "a bigint, b bigint").distinct()
+    return rows.groupBy("key", "x", "y").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -167,16 +208,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("the signature distance is set for 80 per cent and above")
     table = materialize(signed(docs, id_col, text_col, shingle))
     usable = table.where("doc_id is not null and n_shingles > 0")
-    groups = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    # one id may stand for several sets where ids repeat: its first set is enough to reach the others through set_key
-    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig")).alias("one")).select("id", "one.sig"))
+    groups = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min(F.struct("sig", "long")).alias("s")).select("set_key", "id", "s.*")
+    # one id may stand for several sets where ids repeat: one of its sets is enough, as equal ids are one component
+    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig", "long")).alias("one")).select("id", "one.sig", "one.long"))
     members = materialize(_members(classes))
-    heads = members.groupBy("key").agg(F.min(F.struct("id", "sig")).alias("head"), F.count("*").alias("n")).where("n > 1").select("key", F.col("head.id").alias("a"), F.hex("head.sig").alias("sa"))
-    star = members.join(heads, "key").where("id <> a").select("a", F.col("id").alias("b"), "sa", F.hex("sig").alias("sb"))
-    star = materialize(star.dropDuplicates(["a", "b"]).where(F.expr(_hex_distance("sa", "sb")) <= MOST).select("a", "b"))
+    several = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    shared = materialize(members.join(several, "key"))
+    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes))
     links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent))
     labels = components(links)
-    more = materialize(_across(members, labels).join(star, ["a", "b"], "left_anti"))
+    more = materialize(_across(shared.select("key", "id"), classes, labels).join(star, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)))
         labels = components(links)

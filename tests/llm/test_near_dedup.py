@@ -89,12 +89,15 @@ def test_every_pair_within_the_distance_shares_a_key():
         b = a.copy()
         spots = rng.choice(near_dedup.POSITIONS, near_dedup.MOST, replace=False)
         b[spots] ^= np.uint16(1 + rng.integers(0, 1000))
-        assert np.intersect1d(near_dedup.index_keys(a), near_dedup.index_keys(b)).size
+        common = np.flatnonzero(near_dedup.index_keys(a) == near_dedup.index_keys(b))
+        assert common.size
+        assert near_dedup.first_shared_key(a, b[None, :])[0] == common[0] == near_dedup.index_keys(a)[common[0]] >> 48
 
 
 def test_pairs_across_components_are_compared_in_blocks(documents, prose, monkeypatch):
     """Copies of copies, so that the key's smallest class isn't near all others, with blocks of two rows."""
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    monkeypatch.setattr(near_dedup, "GROUP", 3)
     rng = random.Random(8)
     base = prose(7, 250)
     rows = [(100 + k, edited(base, 0.035, rng)) for k in range(14)] + [(900, base)]
