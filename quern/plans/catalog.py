@@ -22,7 +22,7 @@ class Tables:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("relational", "aggregation", "domain", "web", "streams")
+_MODULES = ("relational", "aggregation", "domain", "library", "web", "streams")
 
 
 def query(name: str, sql: str | None = None) -> Callable:

@@ -24,9 +24,11 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.explode(web.emails(F.col("text"))).alias("email"))
 
 
-@query("d04_socials", "SELECT page_id, 0::BIGINT AS platforms FROM pages")
+@query("d04_socials", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'linkedin,twitter' WHEN 1 THEN 'youtube' ELSE '' END AS platforms FROM pages")
 def _(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.size(web.socials(F.col("html"))).cast("bigint").alias("platforms"))
+    k = F.col("page_id") % 3
+    footer = F.when(k == 0, '<a class="s" href="https://WWW.LinkedIn.com/company/a">in</a><a href=" http://x.com/a">x</a>').when(k == 1, "<a href='https://youtu.be/abc'>v</a>").otherwise('<a href="https://netflix.com/x.com">n</a>')
+    return t.pages.select("page_id", F.array_join(web.socials(F.concat("html", footer)), ",").alias("platforms"))
 
 
 @query("d05_head_metadata", "SELECT page_id, regexp_extract(html, 'charset=\"([^\"]*)\"', 1) AS charset FROM pages")
