@@ -5,9 +5,9 @@ the least value of the set under one hash function. Signatures are cut into CHUN
 signatures that differ in at most MOST symbols have, by the pigeonhole principle, a chunk with at most one difference
 (MOST < 2 * CHUNKS); so each chunk is indexed once for each symbol that may differ, with that symbol left out, and
 every pair within the signature distance shares an index key. At the similarity of 0.8 a pair's distance exceeds MOST
-with a chance of 1 in 10,000; above it the chance falls fast. Candidates within the distance must also agree in LIKE of
-LONG further symbols of 8 bits, four standard deviations below what a similarity of 0.8 gives, and are then confirmed on
-the full sets.
+with a chance of 1 in 10,000; above it the chance falls fast. Candidates within the distance are compared by the SKETCH
+least hashes of their sets, which are whole sets for shorter texts, and must come within four standard deviations of the
+similarity asked for; what is left is confirmed on the full sets.
 
 No group is expanded into its pairs. Equal sets become one class first. Within a key each class is tested against the
 key's smallest class only, and what is linked becomes one component. A second pass looks only at keys that still hold
@@ -31,24 +31,52 @@ from .text_arrays import U64, Words, mix, shingle_sets, slices, string_buffers
 POSITIONS, WIDTH = 32, 4
 CHUNKS = POSITIONS // WIDTH
 MOST = 2 * CHUNKS - 1
-LONG = 256
-#: Long symbols that must agree: chance matches of 8 bits count, too.
-LIKE = int(LONG * (0.8 + 0.2 / 256) - 4 * (LONG * 0.8 * 0.2) ** 0.5)
+SKETCH = 256
 #: Rows in a block of a comparison, and members in a group of a confirmation.
 BLOCK, GROUP = 1024, 256
+#: Rows (of three numbers) up to which the candidates' ids are broadcast to where the texts are; beyond, both sides are shuffled.
+MOST_BROADCAST = 500_000
 
 _generator = np.random.default_rng(20240229)
-_FACTORS = _generator.integers(1, 1 << 63, POSITIONS + LONG, dtype=U64) * U64(2) + U64(1)
-_TERMS = _generator.integers(0, 1 << 63, POSITIONS + LONG, dtype=U64)
+_FACTORS = _generator.integers(1, 1 << 63, POSITIONS, dtype=U64) * U64(2) + U64(1)
+_TERMS = _generator.integers(0, 1 << 63, POSITIONS, dtype=U64)
+_NONE = np.uint32(0xFFFFFFFF)
 
 
-def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The POSITIONS 16-bit symbols and the LONG 8-bit symbols of a non-empty set."""
-    least = np.empty(POSITIONS + LONG, U64)
-    for k in range(0, POSITIONS + LONG, 8):
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """The 16-bit symbols of a non-empty set."""
+    least = np.empty(POSITIONS, U64)
+    for k in range(0, POSITIONS, 8):
         least[k : k + 8] = (shingles[None, :] * _FACTORS[k : k + 8, None] + _TERMS[k : k + 8, None]).min(axis=1)
-    least = mix(least)
-    return (least[:POSITIONS] & U64(0xFFFF)).astype(np.uint16), (least[POSITIONS:] & U64(0xFF)).astype(np.uint8)
+    return (mix(least) & U64(0xFFFF)).astype(np.uint16)
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The high halves of the SKETCH least hashes of a sorted set."""
+    return np.minimum((shingles[:SKETCH] >> U64(32)).astype(np.uint32), _NONE - np.uint32(1))
+
+
+def sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Sketches as the rows of a matrix, filled up with _NONE."""
+    out = np.full((len(column), SKETCH), _NONE)
+    for row, value in zip(out, column.to_pylist(), strict=True):
+        found = np.frombuffer(value, np.uint32)
+        row[: len(found)] = found
+    return out
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a sketch allows the similarity with each row of a matrix of sketches. Both are complete below the lesser of
+    their last hashes; if neither is cut, one hash of difference is allowed for, else four standard deviations."""
+    whole = a[-1] == _NONE, b[:, -1] == _NONE
+    upto = np.minimum(_NONE - np.uint32(1) if whole[0] else a[-1], np.where(whole[1], _NONE - np.uint32(1), b[:, -1]))
+    inside = b <= upto[:, None]
+    at = np.minimum(np.searchsorted(a, b), SKETCH - 1)
+    common = ((a[at] == b) & inside).sum(axis=1)
+    union = np.searchsorted(a, upto, "right") + inside.sum(axis=1) - common
+    share = percent / 100
+    slack = np.where(whole[0] & whole[1], 1.0, 4 * np.sqrt(share * (1 - share) * union))
+    return common >= share * union - slack
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -65,29 +93,28 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits of the whole set), sig, long; one row per row of docs."""
+    """doc_id, n_shingles, set_key (128 bits of the whole set), sig, sketch; one row per row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words = Words(*string_buffers(piece.column("text")), lower=True)
-                sizes, keys, sigs, longs = [], [], [], []
+                sizes, keys, sigs, sketches = [], [], [], []
                 for found in shingle_sets(words, piece.num_rows, shingle):
                     sizes.append(len(found))
                     if len(found):
                         both = np.array([np.bitwise_xor.reduce(mix(found + U64(1))), np.add.reduce(mix(found ^ U64(0x5851F42D4C957F2D)))], U64)
                         keys.append(both.tobytes())
-                        short, long = signature(found)
-                        sigs.append(short.tobytes())
-                        longs.append(long.tobytes())
+                        sigs.append(signature(found).tobytes())
+                        sketches.append(sketch(found).tobytes())
                     else:
                         keys.append(None)
                         sigs.append(None)
-                        longs.append(None)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(longs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig", "long"])
+                        sketches.append(None)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig", "sketch"])
 
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, long binary")
+    return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, sketch binary")
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -110,16 +137,19 @@ def _rows(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _within(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose signatures allow the similarity."""
-    sides = [classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("long").alias(f"long_{x}")) for x in ("a", "b")]
+def _within(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (a, b) whose signatures and sketches allow the similarity."""
+    sides = [classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in ("a", "b")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                far = (_rows(batch.column("sig_a"), np.uint16) != _rows(batch.column("sig_b"), np.uint16)).sum(axis=1)
-                like = (_rows(batch.column("long_a"), np.uint8) == _rows(batch.column("long_b"), np.uint8)).sum(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array((far <= MOST) & (like >= LIKE)))
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                near = (_rows(part.column("sig_a"), np.uint16) != _rows(part.column("sig_b"), np.uint16)).sum(axis=1) <= MOST
+                left, right = sketch_rows(part.column("sketch_a")), sketch_rows(part.column("sketch_b"))
+                for k in np.flatnonzero(near):
+                    near[k] = alike(left[k], right[k : k + 1], percent)[0]
+                yield part.select(["a", "b"]).filter(pa.array(near))
 
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a bigint, b bigint")
 
@@ -131,7 +161,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, sh
     dealt = materialize(pairs.join(sizes, "a").select("a", "b", "parts", F.pmod(F.xxhash64("b"), "parts").alias("part")))
     wanted = dealt.select(F.col("b").alias("id"), "a", "part").unionByName(dealt.select("a", "parts").distinct().select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    needed = wanted.join(texts, "id")
+    needed = texts.join(F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted, "id")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         leader = key[0].as_py()
@@ -167,26 +197,26 @@ def first_shared_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(shared.any(axis=1), chunk * WIDTH + out, -1)
 
 
-def _across(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a key and whose signatures allow the similarity. shared: the
-    members of keys with several."""
+def _across(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that share a key and whose signatures and sketches allow the similarity.
+    shared: the members of keys with several."""
     labelled = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     open_keys = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).alias("parts"))
     rows = labelled.join(open_keys, "key").join(classes, "id").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
-    rows = rows.select("key", "id", "sig", "long", "label", "part", other).select("key", "id", "sig", "long", "label", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    rows = rows.select("key", "id", "sig", "sketch", "label", "part", other).select("key", "id", "sig", "sketch", "label", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         number, x, y = key[0].as_py() >> 48, key[1].as_py(), key[2].as_py()
         ids, labels_, parts = (table.column(c).to_numpy() for c in ("id", "label", "part"))
-        sigs, longs = _rows(table.column("sig"), np.uint16), _rows(table.column("long"), np.uint8)
+        sigs, sketches = _rows(table.column("sig"), np.uint16), sketch_rows(table.column("sketch"))
         left, right = np.flatnonzero(parts == x), np.flatnonzero(parts == y)
         out_a, out_b = [], []
         for i in left:
             near = right[(labels_[right] != labels_[i]) & (ids[right] > ids[i] if x == y else True)]
             near = near[(sigs[near] != sigs[i]).sum(axis=1) <= MOST]
             near = near[first_shared_key(sigs[i], sigs[near]) == number] if len(near) else near
-            near = near[(longs[near] == longs[i]).sum(axis=1) >= LIKE]
+            near = near[alike(sketches[i], sketches[near], percent)] if len(near) else near
             if len(near):
                 out_a.append(np.minimum(ids[i], ids[near]))
                 out_b.append(np.maximum(ids[i], ids[near]))
@@ -208,16 +238,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("the signature distance is set for 80 per cent and above")
     table = materialize(signed(docs, id_col, text_col, shingle))
     usable = table.where("doc_id is not null and n_shingles > 0")
-    groups = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min(F.struct("sig", "long")).alias("s")).select("set_key", "id", "s.*")
+    groups = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min(F.struct("sig", "sketch")).alias("s")).select("set_key", "id", "s.*")
     # one id may stand for several sets where ids repeat: one of its sets is enough, as equal ids are one component
-    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig", "long")).alias("one")).select("id", "one.sig", "one.long"))
+    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig", "sketch")).alias("one")).select("id", "one.sig", "one.sketch"))
     members = materialize(_members(classes))
     several = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
     shared = materialize(members.join(several, "key"))
-    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes))
+    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes, percent))
     links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent))
     labels = components(links)
-    more = materialize(_across(shared.select("key", "id"), classes, labels).join(star, ["a", "b"], "left_anti"))
+    more = materialize(_across(shared.select("key", "id"), classes, labels, percent).join(star, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)))
         labels = components(links)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from quern.llm import near_dedup
 from quern.llm.components import components
@@ -108,3 +109,20 @@ def test_components(spark):
     links = spark.createDataFrame([(1, 2), (3, 2), (5, 4), (9, 9), (7, 8), (8, 10), (10, 11), (11, 12), (12, 13)], "a bigint, b bigint")
     got = {r.id: r.label for r in components(links).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 7: 7, 8: 7, 10: 7, 11: 7, 12: 7, 13: 7}
+
+
+def test_sketches_of_short_sets_are_exact_and_of_long_ones_near():
+    rng = np.random.default_rng(7)
+    pool = np.unique(rng.integers(0, 1 << 64, 4000, dtype=np.uint64))
+    for n in (5, 100, 240, 1500, 3500):
+        for _ in range(60):
+            a = pool[np.sort(rng.choice(len(pool), n, replace=False))]
+            keep = rng.random(n) < rng.choice([0.75, 0.85, 0.95])
+            b = np.unique(np.concatenate([a[keep], rng.choice(pool, rng.integers(0, max(n // 20, 1)))]))
+            similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            rows = near_dedup.sketch_rows(pa.array([near_dedup.sketch(x).tobytes() for x in (a, b)]))
+            got = near_dedup.alike(rows[0], rows[1:], 80)[0]
+            if similarity >= 0.8:
+                assert got
+            elif similarity < 0.8 - 1.5 / len(a) and n < 250 or similarity < 0.6:
+                assert not got
