@@ -144,7 +144,7 @@ def isotonic(raw: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarra
     pools: list[list[float]] = []
     for x, y in zip(raw[order], labels[order], strict=True):
         pools.append([float(x), float(y), 1.0])
-        while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
+        while len(pools) > 1 and (pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2] or pools[-2][0] / pools[-2][2] >= pools[-1][0] / pools[-1][2]):
             pools[-2:] = [[a + b for a, b in zip(pools[-2], pools[-1], strict=True)]]
     mean = labels.mean()
     xs = np.array([p[0] / p[2] for p in pools])

@@ -34,7 +34,7 @@ def test_block_max_search_is_exact():
 
 
 def test_isotonic_rises():
-    raw, labels = np.array([0.1, 0.2, 0.3, 0.4, 0.9, 0.95]), np.array([0, 1, 0, 0, 1, 1])
+    raw, labels = np.array([0.1, 0.2, 0.3, 0.4, 0.9, 0.95, 0.95, 0.95]), np.array([0, 1, 0, 0, 1, 0, 1, 1])
     xs, ys = toxicity.isotonic(raw, labels.astype(float))
     assert (np.diff(xs) > 0).all() and (np.diff(ys) >= 0).all() and (0 <= ys).all() and (ys <= 1).all()
 
