@@ -18,10 +18,13 @@ def session(app: str = "quern", **conf: str) -> SparkSession:
 
 
 _shipped: set[str] = set()
+#: Rows in an Arrow batch: a thousand texts are a few MB, and the longest ones still fit beside a worker's arrays.
+ARROW_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Makes this package importable by the Python workers, wherever they run; once for each application."""
+    """Makes this package importable by the Python workers, wherever they run, once for each application, and holds Arrow
+    batches small. The archive is made on the driver, which serves it to the executors."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
@@ -31,4 +34,6 @@ def ship(spark: SparkSession) -> SparkSession:
             for source in sorted(package.rglob("*.py")):
                 z.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark
