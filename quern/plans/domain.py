@@ -46,6 +46,11 @@ def _(t: Tables) -> DataFrame:
     return t.documents.where("lang in ('fr', 'es')").select("doc_id", text.fold_accents(F.left("text", F.lit(60))).alias("folded"))
 
 
+@query("f10_fold_accents_whole")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", text.fold_accents("text").alias("folded"))
+
+
 @query("f11_md5_identity", "SELECT c_custkey, CAST('0x' || substr(md5(c_name), 1, 15) AS BIGINT) AS id FROM customer")
 def _(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.md5_number(F.col("c_name")).alias("id"))

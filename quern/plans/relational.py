@@ -506,6 +506,16 @@ def _(t: Tables) -> DataFrame:
     return t.documents.where("n_chars < 600").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
+@query("r01_array_join_whole", "SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> ''")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
+
+
+@query("r02_zipped_position_whole", "SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", (F.col("pos") + 1).cast("bigint"))
+
+
 @query("r03_nested_arrays", "SELECT doc_id, count(*) AS words FROM (SELECT doc_id, unnest(string_split(line, ' ')) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY 1")
 def _(t: Tables) -> DataFrame:
     lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
