@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,20 @@ _NOISE_NAMES = frozenset(
     "widget widgets pagination pager skip copyright legal disclaimer".split()
 )
 _LAYOUT = frozenset("no has with without is hide show".split())
+_FORMATS = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+#: Blocks that may start inside an open p; any other ends it.
+_IN_P = frozenset("body br caption tbody td tfoot th thead tr".split())
+#: What the start of an element ends, and what hides an open one from it.
+_IMPLIED = {
+    "li": (("li",), _BLOCKS - {"address", "div", "p"}),
+    **dict.fromkeys(("dd", "dt"), (("dd", "dt"), _BLOCKS - {"address", "div", "p"})),
+    **dict.fromkeys(("td", "th"), (("td", "th"), frozenset(("table", "tr")))),
+    "tr": (("tr",), frozenset(("table",))),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (("tbody", "thead", "tfoot"), frozenset(("table",)))),
+}
+_CELLS = frozenset("table td th caption".split())
+#: What hides an open element from its end tag, for blocks that are no sections; _CELLS for others.
+_HIDES = {"li": _CELLS | {"ul", "ol", "menu", "dir"}, **dict.fromkeys(("dd", "dt"), _CELLS | {"dl"}), **dict.fromkeys("caption td th tr tbody thead tfoot".split(), frozenset(("table",)))}
 _SECTIONS = frozenset("article aside blockquote body div dl fieldset figure footer form header main menu nav ol section table ul details dialog".split())
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
@@ -64,24 +79,60 @@ def _names(value: str) -> bool:
 
 
 class _Line:
-    __slots__ = ("parts", "links", "noise", "marked", "edge")
+    __slots__ = ("parts", "links", "clean", "marked", "edge")
 
-    def __init__(self, noise: bool, marked: bool, edge: bool):
-        self.parts, self.links, self.noise, self.marked, self.edge = [], 0, noise, marked, edge
+    def __init__(self, marked: bool, edge: bool):
+        self.parts, self.links, self.clean, self.marked, self.edge = [], 0, False, marked, edge
+
+    def add(self, text: str, noise: int) -> None:
+        """A line is noise if all of its text is."""
+        self.parts.append(text)
+        self.clean = self.clean or not (noise or text.isspace() or not text)
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     """Text, link characters, noise, marked as article and first of a section, of each line with text."""
     page = _RAW_TEXT.sub(" ", _COMMENT.sub("", page))
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()
     noise = marked = 0
     links = 0
-    out = [_Line(False, False, False)]
+    out = [_Line(False, False)]
+
+    def innermost(tags: Iterable[str], hides: Iterable[str]) -> int:
+        """Place of the last open element of tags, -1 if there is none or one of hides was opened since."""
+        if any(opened[t] for t in tags):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in tags:
+                    return k
+                if stack[k][0] in hides:
+                    return -1
+        return -1
+
+    def end(first: int, after: int | None = None) -> None:
+        nonlocal noise, marked
+        if first >= 0:
+            for t, n, a in stack[first:after]:
+                noise, marked = noise - n, marked - a
+                opened[t] -= 1
+            del stack[first:after]
+
+    def end_tag(tag: str) -> None:
+        if tag in _SECTIONS or tag in _NOISE or tag == "p" or tag[0] == "h":
+            end(innermost((tag,), ()))
+        elif tag in _BLOCKS:
+            end(innermost((tag,), _HIDES.get(tag, _CELLS)))
+        elif tag in _FORMATS:  # ends alone where blocks were opened inside it
+            k = innermost((tag,), _CELLS)
+            end(k, k + 1 if any(t in _BLOCKS for t, _, _ in stack[k + 1 :]) else None)
+        else:
+            end(innermost((tag,), _BLOCKS))
+
     at = 0
     for m in _TAG.finditer(page):
         if m.start() > at:
             text = page[at : m.start()]
-            out[-1].parts.append(text)
+            out[-1].add(text, noise)
             if links:
                 out[-1].links += len(text.strip())
         at = m.end()
@@ -89,39 +140,37 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if m[1]:
             if tag == "a":
                 links = 0
-            if tag in _SECTIONS or tag in _NOISE or tag == "p" or tag[0] == "h":
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        for _, n, a in stack[k:]:
-                            noise, marked = noise - n, marked - a
-                        del stack[k:]
-                        break
+            end_tag(tag)
         else:
             if tag == "a":
                 links = 1
+                end_tag(tag)
             if tag in ("body", "main"):  # neither stands inside a head, a menu or the like: what is open there was never closed
                 stack, noise, marked = [], 0, 0
+                opened.clear()
             if tag not in _VOID and not m[3].endswith("/"):
-                if tag == "p" and stack and stack[-1][0] == "p":
-                    _, n, a = stack.pop()
-                    noise, marked = noise - n, marked - a
+                if tag in _BLOCKS and tag not in _IN_P:
+                    end(innermost(("p",), _BLOCKS))
+                if tag in _IMPLIED:
+                    end(innermost(*_IMPLIED[tag]))
                 bad = _is_noise(tag, m[3])
                 good = tag in ("article", "main") or (tag in _SECTIONS and re.search(r"\brole\s*=\s*[\"']?main\b", m[3]) is not None)
-                if bad or good or tag in _BLOCKS:
+                if bad or good or tag in _BLOCKS or opened[tag]:  # of other elements, those inside an open one of that name
                     stack.append((tag, bad, good))
+                    opened[tag] += 1
                     noise, marked = noise + bad, marked + good
         if tag in _BLOCKS:
-            out.append(_Line(noise > 0, marked > 0, tag in _SECTIONS))
+            out.append(_Line(marked > 0, tag in _SECTIONS))
         elif tag in _NOISE:
-            out.append(_Line(noise > 0, marked > 0, False))
-    out[-1].parts.append(page[at:])
+            out.append(_Line(marked > 0, False))
+    out[-1].add(page[at:], noise)
     found = []
     edge = False
     for line in out:
         edge = edge or line.edge
         text = _BLANK.sub(" ", html.unescape("".join(line.parts))).strip()
         if text:
-            found.append((text, line.links, line.noise, line.marked, edge))
+            found.append((text, line.links, not line.clean, line.marked, edge))
             edge = False
     return found
 

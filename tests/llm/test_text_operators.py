@@ -25,6 +25,28 @@ def test_main_text(body, expected):
     assert html_extract.main_text(PAGE % body) == expected
 
 
+LONG = ("word " * 60).strip()
+
+
+@pytest.mark.parametrize(
+    ("body", "expected"),
+    [
+        ("<a class='skip-link' href=#c>Skip</a><article><p>%s</article>", LONG),
+        ("<article><a class=share>Share<div><p>%s</div></a><p>end</article>", "end"),
+        ("<table><tr><td class='sidebar'>menu</td><td>%s</td></tr></table>", LONG),
+        ("<table><tr><td class=sidebar>menu<td>%s</table>", LONG),
+        ("<div><span class='share'>x</span><p>%s</p></div>", LONG),
+        ("<div><span class=share>x <span>y</span> z</span><p>%s</p></div>", LONG),
+        ("<ul><li class=promo>Buy</li><li>%s</li></ul>", LONG),
+        ("<ul><li class=promo>Buy<li>%s</ul>", LONG),
+        ("<dl><dt class=ad>Buy<dd>%s</dl>", LONG),
+        ("<div><p class=share>Share<div>%s</div></div>", LONG),
+    ],
+)
+def test_noise_ends_with_its_element(body, expected):
+    assert html_extract.main_text(PAGE % (body % LONG)) == expected
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     pieces = ["<article>", "</article>", "<p", ">", "text & more", "<!--", "-->", "<script>", "</script>", "&#xZZ;", "<div class='ad", "'>", "\x00", "</nav>", "<nav>", "é"]
