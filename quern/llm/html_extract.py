@@ -5,7 +5,8 @@ text by their element, role, class or id keep their place but count no text; so
 The lengths of WINDOW lines from each line on are added up. Text surges where the sum rises above SURGE after a stretch
 below it and dives where it falls to nothing; the lines between a surge and its dive are a span. Where the page marks
 its article (article, main, role=main), only marked lines count and any text in them is a surge. All spans' text lines
-are kept if the page marks its article, else those of the spans that hold a fair part of the longest one's text."""
+are kept if the page marks its article. Else all text lines are kept in the least container that holds the longest span,
+and outside it those of the spans that hold a fair part of the longest one's text."""
 
 from __future__ import annotations
 
@@ -46,6 +47,8 @@ _IMPLIED = {
 _CELLS = frozenset("table td th caption".split())
 #: What hides an open element from its end tag, for blocks that are no sections; _CELLS for others.
 _HIDES = {"li": _CELLS | {"ul", "ol", "menu", "dir"}, **dict.fromkeys(("dd", "dt"), _CELLS | {"dl"}), **dict.fromkeys("caption td th tr tbody thead tfoot".split(), frozenset(("table",)))}
+#: Elements that hold an article rather than a part of one.
+_CONTAINERS = frozenset("body center div main article td th".split())
 _SECTIONS = frozenset("article aside blockquote body div dl fieldset figure footer form header main menu nav ol section table ul details dialog".split())
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
@@ -79,10 +82,10 @@ def _names(value: str) -> bool:
 
 
 class _Line:
-    __slots__ = ("parts", "links", "clean", "marked", "edge")
+    __slots__ = ("parts", "links", "clean", "marked", "edge", "place")
 
-    def __init__(self, marked: bool, edge: bool):
-        self.parts, self.links, self.clean, self.marked, self.edge = [], 0, False, marked, edge
+    def __init__(self, marked: bool, edge: bool, place: int):
+        self.parts, self.links, self.clean, self.marked, self.edge, self.place = [], 0, False, marked, edge, place
 
     def add(self, text: str, noise: int) -> None:
         """A line is noise if all of its text is."""
@@ -90,14 +93,16 @@ class _Line:
         self.clean = self.clean or not (noise or text.isspace() or not text)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """Text, link characters, noise, marked as article and first of a section, of each line with text."""
+def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], list[int]]:
+    """Text, link characters, noise, marked as article, first of a section and container, of each line with text; and
+    the container around each container, whose number is less (0 is the page)."""
     page = _RAW_TEXT.sub(" ", _COMMENT.sub("", page))
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, int]] = []
+    around = [0]
     opened: Counter[str] = Counter()
     noise = marked = 0
     links = 0
-    out = [_Line(False, False)]
+    out = [_Line(False, False, 0)]
 
     def innermost(tags: Iterable[str], hides: Iterable[str]) -> int:
         """Place of the last open element of tags, -1 if there is none or one of hides was opened since."""
@@ -112,7 +117,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     def end(first: int, after: int | None = None) -> None:
         nonlocal noise, marked
         if first >= 0:
-            for t, n, a in stack[first:after]:
+            for t, n, a, _ in stack[first:after]:
                 noise, marked = noise - n, marked - a
                 opened[t] -= 1
             del stack[first:after]
@@ -124,7 +129,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             end(innermost((tag,), _HIDES.get(tag, _CELLS)))
         elif tag in _FORMATS:  # ends alone where blocks were opened inside it
             k = innermost((tag,), _CELLS)
-            end(k, k + 1 if any(t in _BLOCKS for t, _, _ in stack[k + 1 :]) else None)
+            end(k, k + 1 if any(t in _BLOCKS for t, *_ in stack[k + 1 :]) else None)
         else:
             end(innermost((tag,), _BLOCKS))
 
@@ -156,13 +161,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 bad = _is_noise(tag, m[3])
                 good = tag in ("article", "main") or (tag in _SECTIONS and re.search(r"\brole\s*=\s*[\"']?main\b", m[3]) is not None)
                 if bad or good or tag in _BLOCKS or opened[tag]:  # of other elements, those inside an open one of that name
-                    stack.append((tag, bad, good))
+                    place = stack[-1][3] if stack else 0
+                    if tag in _CONTAINERS:
+                        around.append(place)
+                        place = len(around) - 1
+                    stack.append((tag, bad, good, place))
                     opened[tag] += 1
                     noise, marked = noise + bad, marked + good
         if tag in _BLOCKS:
-            out.append(_Line(marked > 0, tag in _SECTIONS))
+            out.append(_Line(marked > 0, tag in _SECTIONS, stack[-1][3] if stack else 0))
         elif tag in _NOISE:
-            out.append(_Line(marked > 0, False))
+            out.append(_Line(marked > 0, False, stack[-1][3] if stack else 0))
     out[-1].add(page[at:], noise)
     found = []
     edge = False
@@ -170,19 +179,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         edge = edge or line.edge
         text = _BLANK.sub(" ", html.unescape("".join(line.parts))).strip()
         if text:
-            found.append((text, line.links, not line.clean, line.marked, edge))
+            found.append((text, line.links, not line.clean, line.marked, edge, line.place))
             edge = False
-    return found
+    return found, around
+
+
+def least_container(places: list[int], around: list[int]) -> list[bool]:
+    """Of each container, whether it is the least one that holds all places or lies in it."""
+    held = [0] * len(around)
+    for place in places:
+        held[place] += 1
+    for k in range(len(around) - 1, 0, -1):
+        held[around[k]] += held[k]
+    least = max(k for k, n in enumerate(held) if n == len(places))
+    inside = [False] * len(around)
+    for k in range(least, len(around)):
+        inside[k] = k == least or inside[around[k]]
+    return inside
 
 
 def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by line feeds; empty for null, empty or textless pages."""
     if not page:
         return ""
-    lines = lines_of(page)
-    has_mark = any(marked and not noise for _, _, noise, marked, _ in lines)
+    lines, around = lines_of(page)
+    has_mark = any(marked and not noise for _, _, noise, marked, *_ in lines)
     sizes = []
-    for text, links, noise, marked, _ in lines:
+    for text, links, noise, marked, *_ in lines:
         beside = noise or (has_mark and not marked) or (not has_mark and links >= LINKS * len(text))
         sizes.append(0 if beside else len(text))
     least = 1 if has_mark else SURGE
@@ -199,8 +222,12 @@ def main_text(page: str | None) -> str:
     if not spans:
         spans = [[k for k, n in enumerate(sizes) if n]] if any(sizes) else []
     weight = [sum(sizes[k] for k in s) for s in spans]
-    kept = [k for s, w in zip(spans, weight, strict=True) if has_mark or w >= FAIR * max(weight) for k in s]
-    return "\n".join(lines[k][0] for k in kept)
+    most = max(weight, default=0)
+    kept = {k for s, w in zip(spans, weight, strict=True) if has_mark or w >= FAIR * most for k in s}
+    if spans and not has_mark:
+        inside = least_container([lines[k][5] for k in spans[weight.index(most)]], around)
+        kept |= {k for k, n in enumerate(sizes) if n and inside[lines[k][5]]}
+    return "\n".join(lines[k][0] for k in sorted(kept))
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

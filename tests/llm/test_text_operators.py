@@ -47,6 +47,15 @@ def test_noise_ends_with_its_element(body, expected):
     assert html_extract.main_text(PAGE % (body % LONG)) == expected
 
 
+def test_short_lines_in_the_container_of_the_main_span():
+    long, tail = ("alpha " * 1700).strip(), ("omega " * 330).strip()
+    shop = "<ul><li>Milk<li>Eggs<li>Bread</ul>"
+    text = "\n".join([long, "Milk", "Eggs", "Bread", "So.", tail, "End."])
+    for body in ("<div><p>%s</p>%s<p>So.</p><div>%s</div><p>End.</div>", "<div><section><p>%s</p></section><section>%s<p>So.</section><section><p>%s<p>End.</section></div>", "<table><tr><td><p>%s</p>%s<p>So.</p><p>%s</p><p>End.<td>beside</table>"):
+        assert html_extract.main_text(PAGE % (body % (long, shop, tail))) == text
+    assert html_extract.main_text(PAGE % ("<div><p>%s</p>%s<p>So.</p><p>%s</p><p>End.</div><div>Beside.</div>" % (long, shop, tail))) == text
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     pieces = ["<article>", "</article>", "<p", ">", "text & more", "<!--", "-->", "<script>", "</script>", "&#xZZ;", "<div class='ad", "'>", "\x00", "</nav>", "<nav>", "é"]
