@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,23 @@ def restored(q: Column) -> Column:
     return F.transform(q["codes"], lambda x: x.cast("double") * q["scale"])
 
 
-def nearest(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str, vector_col: str, block: int = 4096) -> DataFrame:
+def nearest(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str, vector_col: str, block: int = 4096, asked_block: int = 2048) -> DataFrame:
     """Exact cosine neighbours: query_id, id, cosine, nth, the k best of all rows for each query, itself excluded.
 
-    Rows are read once in blocks; each task keeps its k best for every query, and the tasks' best meet by query. The
-    query set, which the caller states and which must fit in memory, is sent to every task."""
+    Rows are read in blocks, once for each block of about asked_block queries, which is sent to every task; each task
+    keeps its k best for every query, and the tasks' best meet by query."""
+    blocks = max(1, -(-queries.count() // asked_block))
+    part = F.pmod(F.xxhash64(id_col), F.lit(blocks))
+    found = [_found(queries.where(part == n) if blocks > 1 else queries, rows, k, id_col, vector_col, block) for n in range(blocks)]
+
+    from ..operators.latest import first_per_key
+
+    top = first_per_key(reduce(DataFrame.unionByName, found), ["query_id"], [F.col("cosine").desc(), F.col("id")], k)
+    return top.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), "id"))).alias("all")).select("query_id", F.posexplode("all").alias("nth", "x")).select("query_id", F.col("x.id").alias("id"), (-F.col("x.c")).alias("cosine"), (F.col("nth") + 1).cast("bigint").alias("nth"))
+
+
+def _found(queries: DataFrame, rows: DataFrame, k: int, id_col: str, vector_col: str, block: int) -> DataFrame:
+    """query_id, id, cosine: the k best of each block of rows for each query."""
     stated = queries.select(id_col, vector_col).toArrow()
     ids = stated.column(id_col).to_numpy()
     asked = _unit(stated.column(vector_col).combine_chunks())
@@ -54,11 +67,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str, vector_
                 live = np.isfinite(values)
                 yield pa.RecordBatch.from_arrays([pa.array(query[live]), pa.array(there[best.ravel()][live]), pa.array(values[live])], ["query_id", "id", "cosine"])
 
-    from ..operators.latest import first_per_key
-
-    found = rows.select(id_col, vector_col).mapInArrow(run, "query_id bigint, id bigint, cosine double")
-    top = first_per_key(found, ["query_id"], [F.col("cosine").desc(), F.col("id")], k)
-    return top.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), "id"))).alias("all")).select("query_id", F.posexplode("all").alias("nth", "x")).select("query_id", F.col("x.id").alias("id"), (-F.col("x.c")).alias("cosine"), (F.col("nth") + 1).cast("bigint").alias("nth"))
+    return rows.select(id_col, vector_col).mapInArrow(run, "query_id bigint, id bigint, cosine double")
 
 
 def _unit(vectors: pa.ListArray) -> np.ndarray:

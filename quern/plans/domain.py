@@ -86,6 +86,14 @@ def _(t: Tables) -> DataFrame:
     return vectors.nearest(t.embeddings.where("vec_id < 40"), t.embeddings, 5, id_col="vec_id", vector_col="embedding").select("query_id", "id", "nth")
 
 
+@query(
+    "o06_knn_whole",
+    "SELECT query_id, id, nth FROM (SELECT q.vec_id AS query_id, r.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])), 9) DESC, r.vec_id) AS nth FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0) WHERE nth <= 5",
+)
+def _(t: Tables) -> DataFrame:
+    return vectors.nearest(t.embeddings.where("vec_id % 50 = 0"), t.embeddings, 5, id_col="vec_id", vector_col="embedding").select("query_id", "id", "nth")
+
+
 def prototypes(t: Tables) -> DataFrame:
     """The mean unit vector of each label, renormalised."""
     unit = t.embeddings.select("label", F.posexplode(vectors.normalised(F.col("embedding"))).alias("i", "x"))

@@ -1,12 +1,16 @@
 """Queries over every row and whole texts, against brute force on a small fixture."""
 
+import random
 import unicodedata
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from quern.functions import vectors
 
 TEXTS = {1: "Été  à\nla plage", 2: "Grüße aus Köln\n\n" + "sehr lange Straße " * 90 + "Ende", 3: "", 4: None, 5: "word " * 300 + "\nÀ la fin"}
+VECTORS = {}
 LANGS = {1: "fr", 2: "de", 3: "en", 4: "fr", 5: "es"}
 
 
@@ -15,6 +19,9 @@ def folder(spark, tmp_path_factory):
     at = tmp_path_factory.mktemp("whole")
     rows = [(k, x, LANGS[k], len(x or "")) for k, x in TEXTS.items()]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint").write.parquet(f"{at}/documents.parquet")
+    rng = random.Random(4)
+    VECTORS.update({k: [rng.uniform(-1, 1) for _ in range(6)] for k in range(230)})
+    spark.createDataFrame(list(VECTORS.items()), "vec_id bigint, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
     return str(at)
 
 
@@ -34,3 +41,22 @@ def test_folds_whole_texts(spark, folder):
     fold = lambda x: x and "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).casefold()
     got = {r.doc_id: r.folded for r in entry.queries()["f10_fold_accents_whole"](spark, folder).collect()}
     assert got == {k: fold(x) for k, x in TEXTS.items()}
+
+
+def neighbours(k):
+    m = np.array([np.float32(VECTORS[j]).astype(float) for j in range(len(VECTORS))])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    cosine = np.round(m @ m.T, 9)
+    return {q: sorted((j for j in VECTORS if j != q), key=lambda j: (-cosine[q, j], j))[:k] for q in VECTORS}
+
+
+def test_neighbours_of_every_stated_query(spark, folder):
+    want = neighbours(5)
+    assert rows(spark, folder, "o06_knn_whole") == sorted((q, j, n) for q in range(0, 230, 50) for n, j in enumerate(want[q], 1))
+
+
+def test_queries_in_blocks(spark, folder):
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    got = vectors.nearest(table.where("vec_id % 10 = 0"), table, 3, id_col="vec_id", vector_col="embedding", asked_block=7)
+    want = neighbours(3)
+    assert sorted((r.query_id, r.id, r.nth) for r in got.collect()) == sorted((q, j, n) for q in range(0, 230, 10) for n, j in enumerate(want[q], 1))
