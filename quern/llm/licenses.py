@@ -4,7 +4,8 @@ Text and template are sequences of words (letters, digits and dots inside; lower
 first; words unique to both text and template are anchors, of which the longest run that ascends in both is taken; the
 gaps between anchors are aligned in the same way. Coverage is the share of the template's words that match, density the
 share of the text's span that does. Regions to align are found by the words that a template has: maximal stretches of
-the text in which no more than GAP words in a row are foreign to it."""
+the text in which no more than GAP words in a row are foreign to it, and stretches made of all windows that hold COVERAGE
+of the template's words within the longest span that DENSITY allows, whatever stands between."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -116,26 +118,49 @@ def coverage(region: list[int], template: list[int]) -> tuple[float, float, int,
         # the densest stretch of matches: drop outer matches across gaps wider than the template
         positions = [i for i, _ in matched]
         lo, hi = 0, len(positions) - 1
-        while hi > lo and positions[hi] - positions[lo] + 1 > 2 * len(template):
+        while hi > lo and (positions[hi] - positions[lo] + 1 > 2 * len(template) or (hi - lo >= COVERAGE * len(template) and hi - lo + 1 < DENSITY * (positions[hi] - positions[lo] + 1))):
             if positions[lo + 1] - positions[lo] >= positions[hi] - positions[hi - 1]:
                 lo += 1
             else:
                 hi -= 1
         n, span = hi - lo + 1, positions[hi] - positions[lo] + 1
         found = (n / len(template), n / span, start + positions[lo], start + positions[hi])
-        best = max(best, found, key=lambda x: (x[0] * x[1], -x[2]))
-        if best[0] >= COVERAGE or hi + 1 >= len(positions):
+        best = max(best, found, key=lambda x: (enough(x), x[0] * x[1], -x[2]))
+        if enough(best) or hi + 1 >= len(positions):
             break
         start += positions[lo] + 1
     return best
 
 
+def enough(found: tuple[float, float, int, int]) -> bool:
+    return found[0] >= COVERAGE and found[1] >= DENSITY
+
+
+def regions(mine: np.ndarray, need: float, length: int) -> Iterator[tuple[int, int]]:
+    """First and last word of the stretches to align, given the places of a template's words in a text. Each span that
+    can reach COVERAGE and DENSITY lies in one of them: it has `need` of the words, and at most length / DENSITY in all."""
+    for run in np.split(mine, np.flatnonzero(np.diff(mine) > GAP + 1) + 1):
+        if len(run) >= need:
+            yield int(run[0]), int(run[-1])
+    n, longest = max(1, ceil(need - 1e-9)), int(length / DENSITY + 1e-9)
+    if len(mine) < n:
+        return
+    live = np.flatnonzero(mine[n - 1 :] - mine[: len(mine) - n + 1] < longest)
+    if not len(live):
+        return
+    for own in np.split(live, np.flatnonzero(np.diff(live) >= n) + 1):
+        first, last = int(mine[own[0]]), int(mine[own[-1] + n - 1])
+        for at in range(first, max(first, last - longest) + 1, longest):  # each span lies whole in one part
+            yield at, min(last, at + 2 * longest - 1)
+
+
 class Templates:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         words = word_hashes(pa.array([templates[n] for n in self.names], pa.string()))
         self.words = [words.hash[words.bounds[k] : words.bounds[k + 1]] for k in range(len(self.names))]
         self.lists = [[int(x) for x in w] for w in self.words]
+        self.bags = [Counter(w) for w in self.lists]
         self.sets = [np.unique(w) for w in self.words]
         self.all = np.unique(np.concatenate(self.words)) if self.words else np.empty(0, U64)
         self.maybe = np.zeros(1 << 16, bool)
@@ -158,12 +183,12 @@ class Templates:
                     continue
                 mine = where[np.isin(own, self.sets[k])]
                 best = (0.0, 0.0, 0, 0)
-                for run in np.split(mine, np.flatnonzero(np.diff(mine) > GAP + 1) + 1):
-                    if len(run) < need:
+                for first, last in dict.fromkeys(regions(mine, need, len(self.lists[k]))):
+                    region = [int(x) for x in words.hash[first : last + 1]]
+                    if (Counter(region) & self.bags[k]).total() < need:
                         continue
-                    first = int(run[0])
-                    found = coverage([int(x) for x in words.hash[first : int(run[-1]) + 1]], self.lists[k])
-                    if found[0] >= COVERAGE and found[1] >= DENSITY and found[:2] > best[:2]:
+                    found = coverage(region, self.lists[k])
+                    if enough(found) and found[:2] > best[:2]:
                         best = (*found[:2], found[2] + first, found[3] + first)
                 if best[0]:
                     yield int(row), name, best[0], best[1], int(best[2] - words.bounds[row]), int(best[3] - best[2] + 1)

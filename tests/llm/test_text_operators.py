@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -159,6 +160,34 @@ def test_planted_licenses(documents, prose):
     assert got[0, "apache-2.0-line"].first_word == 80
 
 
+def test_licenses_with_inserted_words(documents, prose):
+    rows, want = [], {}
+    for name, notice in licenses.TEMPLATES.items():
+        words = notice.split()
+        n = len(licenses.Templates({name: notice}).lists[0])
+        for k in (3, 5, 10, 20):
+            for at in (len(words) // 3, len(words) // 2):
+                if n / (n + k) >= licenses.DENSITY:
+                    want[len(rows), name] = (1.0, n / (n + k), n + k)
+                    inserted = [f"zq{j}" for j in range(k)]
+                    rows.append((len(rows), prose(len(rows), 200) + "\n" + " ".join(words[:at] + inserted + words[at:]) + "\n" + prose(99, 200), "en", "s", 0))
+    got = {(r.doc_id, r.license): (r.coverage, r.density, r.n_words) for r in licenses.scan_licenses(documents(rows)).collect()}
+    assert len(want) > 40 and {x: got.get(x) for x in want} == want
+
+
+def test_regions_hold_every_span_that_can_do():
+    rng = random.Random(5)
+    for _ in range(300):
+        length = rng.randrange(3, 30)
+        need = length - (1 - licenses.COVERAGE) * length
+        mine = np.flatnonzero([rng.random() < rng.choice((0.3, 0.6, 0.9)) for _ in range(rng.randrange(150))])
+        found = list(licenses.regions(mine, need, length))
+        for i in range(len(mine)):
+            for j in range(i, len(mine)):
+                if j - i + 1 >= need and mine[j] - mine[i] + 1 <= length / licenses.DENSITY:
+                    assert any(a <= mine[i] and mine[j] <= b for a, b in found)
+
+
 def test_licenses_edges(spark):
     docs = spark.createDataFrame([(None, licenses.TEMPLATES["isc"], "x"), (1, "Released under the MIT License.", "y"), (1, "Released under the MIT License.", "y")], "doc_id bigint, text string, license string")
     assert len([r for r in licenses.scan_licenses(docs).collect() if r.doc_id == 1]) == 2
