@@ -26,7 +26,8 @@ _encoders: dict[str, object] = {}
 
 def encoder(path: str):
     """tiktoken over the byte-level BPE vocabulary of a tokenizers JSON file. The ids are those of the tokenizers
-    library with add_special_tokens=False, special strings being ordinary text, at about five times its speed."""
+    library with add_special_tokens=False, at about five times its speed. Added tokens in a text get their own ids, as the
+    library gives by default, when asked for by allowed_special="all"."""
     if path not in _encoders:
         import tiktoken
 
@@ -35,10 +36,10 @@ def encoder(path: str):
         byte_of = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(byte_of[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in special}
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        _encoders[path] = tiktoken.Encoding("quern", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _encoders[path] = tiktoken.Encoding("quern", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return _encoders[path]
 
 
@@ -59,7 +60,7 @@ def pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int, id_co
                 part = batch.slice(at, 512)
                 out: list[list] = [[] for _ in range(6)]
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    found = np.append(encode(text or "", disallowed_special=()).astype("<u4"), np.array([end_id], "<u4"))
+                    found = np.append(encode(text or "", allowed_special="all").astype("<u4"), np.array([end_id], "<u4"))
                     for k, (start, length) in enumerate(cut(len(found), capacity)):
                         own = found[start : start + length]
                         for column, value in zip(out, (doc, k, start, length, zlib.crc32(own.tobytes()), own.astype(np.int32) if ids else None), strict=True):

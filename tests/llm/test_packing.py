@@ -25,6 +25,18 @@ def test_ids_are_those_of_the_tokenizers_library(tokenizer, prose):
         assert packing.encoder(PATH).encode_ordinary(t) == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", " \n <|endoftext|>\n\nx  ", "<|endoftext|", "<|ENDOFTEXT|>", "x<|endoftext|>y <|endof<|endoftext|>text|>"]
+
+
+def test_added_tokens_as_the_library_loads_them(documents):
+    loaded = Tokenizer.from_file(PATH)
+    want = {k: [*loaded.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(ADDED)}
+    assert want[0] == [64, 220, 50256, 275, 2]
+    rows = packing.pack(documents([(k, t, "en", "s", 0) for k, t in enumerate(ADDED)]), tokenizer=PATH, ids=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == want
+    assert all(r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows)
+
+
 def test_cut_pieces():
     assert packing.cut(5, 8) == [(0, 5)]
     assert packing.cut(8, 8) == [(0, 8)]
