@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, net, text, vectors
 from ..operators import intervals, joins, latest, rollups, rules
 from .catalog import Tables, query
-from .relational import total
+from .relational import _LINKS, links, total
 
 # Scalars
 
@@ -431,6 +431,21 @@ def _(t: Tables) -> DataFrame:
     return ends.join(popular, "node")
 
 
+@query("d45_graph_validation_whole", f"WITH e AS {_LINKS}, n AS (SELECT source AS v FROM e UNION SELECT target FROM e) SELECT (SELECT count(*) FROM e) AS edges, (SELECT count(*) FROM e WHERE source = target) AS loops, (SELECT max(v) - min(v) + 1 = count(*) FROM n) AS contiguous")
+def _(t: Tables) -> DataFrame:
+    e = links(t)
+    nodes = e.select(F.explode(F.array("source", "target")).alias("v")).distinct().agg((F.max("v") - F.min("v") + 1 == F.count("*")).alias("contiguous"))
+    return e.agg(F.count("*").alias("edges"), F.count_if(F.col("source") == F.col("target")).alias("loops")).crossJoin(nodes)
+
+
+@query("d46_reciprocal_ranking_whole", f"WITH e AS {_LINKS}, r AS (SELECT x.source AS a, x.target AS b FROM e x JOIN e y ON x.source = y.target AND x.target = y.source WHERE x.source <> x.target), p AS (SELECT target, count(*) AS popularity FROM e GROUP BY 1) SELECT a AS node, count(*) AS partners, any_value(popularity) AS popularity FROM r JOIN p ON a = p.target GROUP BY a")
+def _(t: Tables) -> DataFrame:
+    pairs = joins.reciprocal(links(t), "source", "target")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("partners"))
+    popular = links(t).groupBy(F.col("target").alias("node")).agg(F.count("*").alias("popularity"))
+    return ends.join(popular, "node")
+
+
 @query("d47_unique_ownership", "SELECT l_orderkey, min(l_suppkey) AS owner FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1")
 def _(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("owner"), F.max("l_suppkey").alias("m")).where("owner = m").drop("m")
@@ -543,6 +558,12 @@ def _(t: Tables) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("docs"))
 
 
+@query("v15_inverted_index_whole", "SELECT word, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY 1")
+def _(t: Tables) -> DataFrame:
+    words = t.documents.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("word")).where("word <> ''")
+    return words.groupBy("word").agg(F.count("*").alias("docs"))
+
+
 @query("v16_shared_key_set", "SELECT 'orders' AS reader, count(*) AS n FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_name LIKE 'Customer#00000000%') UNION ALL SELECT 'customers', count(*) FROM customer WHERE c_name LIKE 'Customer#00000000%'")
 def _(t: Tables) -> DataFrame:
     keys = t.customer.where(F.col("c_name").startswith("Customer#00000000")).select("c_custkey")

@@ -297,6 +297,28 @@ def _(t: Tables) -> DataFrame:
     return joins.neighbours(follows(t), t.spark.createDataFrame([(1,), (2,), (3,)], "seed bigint"), "source", "target")
 
 
+@query("j18_self_pairs_whole", "SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS a, greatest(a.l_partkey, b.l_partkey) AS b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey")
+def _(t: Tables) -> DataFrame:
+    return joins.pairs_within(t.lineitem, "l_orderkey", "l_partkey")
+
+
+def links(t: Tables) -> DataFrame:
+    return t.lineitem.select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("target")).distinct()
+
+
+_LINKS = "(SELECT DISTINCT l_partkey AS source, l_suppkey AS target FROM lineitem)"
+
+
+@query("j19_reciprocal_edges_whole", f"WITH e AS {_LINKS} SELECT x.source AS a, x.target AS b FROM e x JOIN e y ON x.source = y.target AND x.target = y.source WHERE x.source < x.target")
+def _(t: Tables) -> DataFrame:
+    return joins.reciprocal(links(t), "source", "target")
+
+
+@query("j20_adjacency_whole", f"WITH e AS {_LINKS}, n AS (SELECT source AS seed, target AS node, 0 AS i, 1 AS o FROM e WHERE source IN (1, 2, 3) UNION ALL SELECT target, source, 1, 0 FROM e WHERE target IN (1, 2, 3)) SELECT seed, node, max(i) AS inbound, max(o) AS outbound, max(i) * max(o) AS reciprocal FROM n GROUP BY 1, 2")
+def _(t: Tables) -> DataFrame:
+    return joins.neighbours(links(t), t.spark.createDataFrame([(1,), (2,), (3,)], "seed bigint"), "source", "target")
+
+
 @query("j21_block_fuzzy", "SELECT a.c_custkey AS a, b.c_custkey AS b, CAST(damerau_levenshtein(a.c_name, b.c_name) AS BIGINT) AS distance FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE damerau_levenshtein(a.c_name, b.c_name) <= 1")
 def _(t: Tables) -> DataFrame:
     side = lambda s: t.customer.select("c_nationkey", "c_mktsegment", F.col("c_custkey").alias(s), F.col("c_name").alias(f"name_{s}"))

@@ -11,6 +11,8 @@ from quern.functions import vectors
 
 TEXTS = {1: "Été  à\nla plage", 2: "Grüße aus Köln\n\n" + "sehr lange Straße " * 90 + "Ende", 3: "", 4: None, 5: "word " * 300 + "\nÀ la fin"}
 VECTORS = {}
+#: order, part, supplier, quantity
+LINES = [(1, 1, 205, 50.0), (1, 205, 1, 3.0), (1, 7, 2, 1.0), (2, 105, 1, 45.0), (2, 1, 105, 41.0), (3, 2, 302, 9.0), (3, 302, 302, 9.0), (3, 2, 302, 8.0)]
 LANGS = {1: "fr", 2: "de", 3: "en", 4: "fr", 5: "es"}
 
 
@@ -22,6 +24,7 @@ def folder(spark, tmp_path_factory):
     rng = random.Random(4)
     VECTORS.update({k: [rng.uniform(-1, 1) for _ in range(6)] for k in range(230)})
     spark.createDataFrame(list(VECTORS.items()), "vec_id bigint, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
+    spark.createDataFrame(LINES, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double").write.parquet(f"{at}/lineitem.parquet")
     return str(at)
 
 
@@ -60,3 +63,25 @@ def test_queries_in_blocks(spark, folder):
     got = vectors.nearest(table.where("vec_id % 10 = 0"), table, 3, id_col="vec_id", vector_col="embedding", asked_block=7)
     want = neighbours(3)
     assert sorted((r.query_id, r.id, r.nth) for r in got.collect()) == sorted((q, j, n) for q in range(0, 230, 10) for n, j in enumerate(want[q], 1))
+
+
+def test_whole_index(spark, folder):
+    want = {}
+    for x in TEXTS.values():
+        for w in set((x or "").lower().split(" ")) - {""}:
+            want[w] = want.get(w, 0) + 1
+    assert dict(rows(spark, folder, "v15_inverted_index_whole")) == want
+
+
+def test_whole_pairs_and_graph(spark, folder):
+    edges = {(p, s) for _, p, s, _ in LINES}
+    pairs = {(p, q) for o, p, *_ in LINES for r, q, *_ in LINES if o == r and p < q}
+    both = {(a, b) for a, b in edges if a < b and (b, a) in edges}
+    assert both == {(1, 205), (1, 105)}
+    assert rows(spark, folder, "j18_self_pairs_whole") == sorted(pairs)
+    assert rows(spark, folder, "j19_reciprocal_edges_whole") == sorted(both)
+    near = {(x, n) for a, b in edges for x, n in ((a, b), (b, a)) if x in (1, 2, 3)}
+    assert rows(spark, folder, "j20_adjacency_whole") == sorted((x, n, int((n, x) in edges), int((x, n) in edges), int((n, x) in edges and (x, n) in edges)) for x, n in near)
+    assert rows(spark, folder, "d45_graph_validation_whole") == [(len(edges), 1, False)]
+    want = sorted((v, sum(v in p for p in both), sum(b == v for _, b in edges)) for v in {v for p in both for v in p})
+    assert rows(spark, folder, "d46_reciprocal_ranking_whole") == want
