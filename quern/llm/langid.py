@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text_arrays import slices, string_buffers
+from .text_arrays import pieces, slices, string_buffers
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -46,27 +46,29 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """log-probabilities of BUCKETS grams in each language."""
+    """Probabilities of BUCKETS grams in each language, and their logarithms."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
         total = counts.sum(axis=0) + SMOOTHING * BUCKETS
         self.chance = ((counts + SMOOTHING) / total).astype(np.float32)
+        self.log = np.log(self.chance)
 
     def infer(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per row: proportions of the languages, those outside the chosen set being 0; grams; posterior of the best single language against the next."""
+        """Per row: proportions of the languages, those outside the chosen set being 0; grams; posterior of the best single
+        language against the next. Grams are held in 32 bits, sums over a row's grams in 64."""
         rows, k = len(column), len(self.languages)
         row, bucket = grams(column)
         share = np.full((rows, k), 1.0 / k)
         sure = np.full(rows, 1.0 / k)
         codes, times = np.unique(row * BUCKETS + bucket, return_counts=True)
-        row, chance, weight = codes // BUCKETS, self.chance[codes % BUCKETS].astype(np.float64), times / OVERLAP
+        row, bucket, weight = (codes // BUCKETS).astype(np.int32), codes % BUCKETS, times.astype(np.float32) / np.float32(OVERLAP)
         size = np.bincount(row, weight, rows)
         some = np.flatnonzero(size > 0)
         if not len(some):
             return share, size, sure
-        at = np.searchsorted(row, some)
-        single = np.add.reduceat(weight[:, None] * np.log(chance), at, axis=0)
+        add = lambda values, starts: np.add.reduceat(values, starts, axis=0, dtype=np.float64)
+        single = add(weight[:, None] * self.log[bucket], np.searchsorted(row, some))
         best = single.argmax(axis=1)
         level = single[np.arange(len(some)), best]
         if k > 1:
@@ -78,38 +80,44 @@ class Model:
         pi[np.arange(len(some)), best] = 1.0
         chosen = pi > 0
         penalty = PENALTY * np.log(size[some] + 2)
-        place = np.full(rows, -1)
+        place = np.full(rows, -1, np.int32)
         place[some] = np.arange(len(some))
-        active = np.arange(len(some))
-        for _ in range(k - 1):
-            live = np.isin(place[row], active)
-            r, c, w = place[row[live]], chance[live], weight[live]
-            starts = np.searchsorted(r, active)
-            mixed = (pi[r] * c).sum(axis=1)
-            slope = np.add.reduceat(w[:, None] * c / mixed[:, None], starts, axis=0)
+        active, index, chance = np.arange(len(some)), place[row], self.chance[bucket]
+        for _ in range(k - 1):  # index: which of active each gram belongs to
+            now = np.arange(len(active))
+            starts = np.searchsorted(index, now)
+            mixed = np.einsum("ij,ij->i", pi[active].astype(np.float32)[index], chance)
+            slope = add(chance * (weight / mixed)[:, None], starts)
             slope[chosen[active]] = -np.inf
             new = slope.argmax(axis=1)
-            steep = slope[np.arange(len(active)), new] > np.add.reduceat(w, starts) * 1.0001
-            if not steep.any():
+            amount = add(weight, starts)
+            steep = slope[now, new] > amount * 1.0001
+            live = steep[index]
+            if not live.any():
                 break
+            to = np.cumsum(steep) - 1  # only what can gain goes on
+            active, new, amount = active[steep], new[steep], amount[steep]
+            index, chance, weight = to[index[live]].astype(np.int32), chance[live], weight[live]
+            now = np.arange(len(active))
+            starts = np.searchsorted(index, now)
             members = chosen[active].copy()
-            members[np.arange(len(active)), new] = True
+            members[now, new] = True
             trial = np.where(members, 0.8 * pi[active], 0.0)
-            trial[np.arange(len(active)), new] = 0.2
+            trial[now, new] = 0.2
             trial /= trial.sum(axis=1, keepdims=True)
-            index = np.searchsorted(active, r)
-            amount = np.add.reduceat(w, starts)[:, None]
             for _ in range(ROUNDS):
-                part = trial[index] * c
-                part *= (w / part.sum(axis=1))[:, None]
-                trial = np.add.reduceat(part, starts, axis=0) / amount
-            reached = np.add.reduceat(w * np.log((trial[index] * c).sum(axis=1)), starts)
-            better = steep & (reached - level[active] > penalty[active])
+                part = trial.astype(np.float32)[index]
+                part *= chance
+                part *= (weight / part.sum(axis=1))[:, None]
+                trial = add(part, starts) / amount[:, None]
+            reached = add(weight * np.log(np.einsum("ij,ij->i", trial.astype(np.float32)[index], chance)), starts)
+            better = reached - level[active] > penalty[active]
+            if not better.any():
+                break
             won = active[better]
             pi[won], level[won], chosen[won] = trial[better], reached[better], members[better]
-            active = won
-            if not len(active):
-                break
+            live, to = better[index], np.cumsum(better) - 1
+            active, index, chance, weight = won, to[index[live]].astype(np.int32), chance[live], weight[live]
         share[some] = pi
         return share, size, sure
 
@@ -151,23 +159,24 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     posterior of the best single language against the next. Repeated rows return each. An empty table gives an empty
     result. Other columns are ignored."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.map_(pa.string(), pa.float64()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         for batch in batches:
-            for piece in slices(batch, "__text"):
-                texts = piece.column("__text").to_pylist()
+            for piece in pieces(batch):
+                texts = piece.to_pylist()
                 lettered = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts]) & bool(own.languages)
                 if own.languages:
-                    share, _, sure = own.infer(piece.column("__text"))
+                    share, _, sure = own.infer(piece)
                     main = share.argmax(axis=1)
                     score = np.where(lettered, np.clip(share[np.arange(len(texts)), main] * sure, 0, 1), 0.0)
                 else:
                     share, main, score = np.zeros((len(texts), 0)), np.zeros(len(texts), int), np.zeros(len(texts))
                 names = [own.languages[m] if ok else "und" for m, ok in zip(main, lettered, strict=True)]
                 maps = [[(own.languages[j], float(p[j])) for j in np.flatnonzero(p > 0)] if ok else [] for p, ok in zip(share, lettered, strict=True)]
-                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in keep], piece.column("__id"), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(maps, pa.map_(pa.string(), pa.float64()))], [*keep, id_col, "lang_pred", "score", "languages"])
+                yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(maps, kind[2].type)], fields=list(kind))
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    schema = f"{kinds}`{id_col}` {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, languages map<string,double>"
-    return docs.select(*keep, F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    found = F.arrow_udf(run, "struct<lang_pred: string, score: double, languages: map<string, double>>").asNondeterministic()
+    rows = docs.select(*keep, F.col(id_col).alias("__id"), found(text_col).alias("__found"))
+    return rows.select(*keep, F.col("__id").alias(id_col), "__found.*")

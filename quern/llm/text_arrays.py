@@ -23,10 +23,14 @@ _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, 2 * len(_powers[0]))
-        for k, base in enumerate((_MULTIPLIER, _INVERSE)):
+        tables = []
+        for base in (_MULTIPLIER, _INVERSE):
             table = np.full(size, base, U64)
             table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
+            tables.append(np.multiply.accumulate(table))
+        if size > 2 * PIECE:  # for a long text alone; a worker that lives on doesn't keep its tables
+            return tables[0][:n], tables[1][:n]
+        _powers[:] = tables
     return _powers[0][:n], _powers[1][:n]
 
 
@@ -50,15 +54,27 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+#: Bytes of text worked on at a time: arrays over a piece take up to some hundred times as much.
+PIECE = 1 << 18
+
+
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the texts of each piece have about most_bytes at most; one longer text is a piece."""
-    if not batch.num_rows:
+    at = 0
+    for part in pieces(batch.column(column), most_bytes):
+        yield batch.slice(at, len(part))
+        at += len(part)
+
+
+def pieces(column: pa.Array, most_bytes: int = PIECE) -> Iterator[pa.Array]:
+    """The same for a column alone."""
+    if not len(column):
         return
-    _, offs = string_buffers(batch.column(column))
+    _, offs = string_buffers(column)
     at = 0
-    while at < batch.num_rows:
+    while at < len(column):
         end = max(at + 1, int(np.searchsorted(offs, offs[at] + most_bytes, "right")) - 1)
-        yield batch.slice(at, end - at)
+        yield column.slice(at, end - at)
         at = end
 
 
