@@ -1,10 +1,13 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
-Per document, base counts are taken from the whole text. Each measure's distribution per (lang, source) is kept as a
-sketch of logarithmic buckets with GAMMA relative width: a table of bucket counts, exact to add up in any order, whose
-quantiles have a relative error of at most (GAMMA - 1) / 2. Thresholds are the upper quartile plus SPREAD interquartile
-ranges plus a slack for the measure; a group with fewer than least_group documents takes the sketch merged over its
-language, and a small language the one over all. Documents are filtered by joining their group's thresholds."""
+Per document, base counts are taken from the whole text. Each measure is a rate: hits by size. Its distribution per
+(lang, source) is kept as a sketch of logarithmic buckets with GAMMA relative width: a table of bucket counts, exact to
+add up in any order, whose quantiles have a relative error of at most (GAMMA - 1) / 2. The sketch alone sets the
+threshold: the upper quartile plus SPREAD interquartile ranges; for a measure that most documents have none of, whose
+quartiles are all 0, at least the sketch's mean (SPARSE) or the same fence over the logarithms of its non-zero part, with
+BURST_SPREAD (BURSTS). A group with fewer than least_group documents, or non-zero ones for the latter, takes the sketch
+merged over its language, and a small language the one over all. Documents are filtered by joining their group's
+thresholds; one is rejected if its rate lies above the threshold by more than the chance in SIGMAS deviations of its hits."""
 
 from __future__ import annotations
 
@@ -16,17 +19,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import materialize
-from .text_arrays import Words, slices, string_buffers
+from .text_arrays import Words, pieces, string_buffers
 
 GAMMA = 1.05
 SPREAD = 3.0
-#: Measure: SQL over the base counts, and the slack above the fence.
+BURST_SPREAD = 1.5
+SIGMAS = 3.0
+#: Measure: its hits and its size among the base counts.
 MEASURES = {
-    "symbol_rate": ("n_symbols / nullif(n_words, 0)", 0.2),
-    "dup_line_rate": ("n_dup_lines / nullif(n_lines, 0)", 0.35),
-    "repeat_rate": ("n_repeat_words / nullif(n_words, 0)", 0.35),
-    "mean_word": ("word_chars / nullif(n_words, 0)", 2.0),
+    "symbol": ("n_symbols", "n_words"),
+    "dup_line": ("n_dup_lines", "n_lines"),
+    "repeat": ("n_repeat_words", "n_words"),
+    "mean_word": ("word_chars", "n_words"),
 }
+SPARSE, BURSTS = ("symbol",), ("dup_line", "repeat")
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 
@@ -74,16 +80,16 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 
 
 def base_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns in keep and the COUNTS of every row's whole __text; a null text has none of anything."""
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} bigint" for c in COUNTS])
+    """The columns in keep and the COUNTS of every row's whole __text; a null text has none of anything. Texts alone go to
+    the Python workers, and counts alone come back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            for piece in slices(batch, "__text"):
-                counts = [pa.array(x, pa.int64()) for x in _counts(piece.column("__text"))]
-                yield pa.RecordBatch.from_arrays([piece.column(c) for c in keep] + counts, [*keep, *COUNTS])
+            for piece in pieces(batch):
+                yield pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in _counts(piece)], list(COUNTS))
 
-    return docs.select(*keep, "__text").mapInArrow(run, schema)
+    counted = F.arrow_udf(run, "struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">").asNondeterministic()
+    return docs.select(*keep, counted("__text").alias("__counts")).select(*keep, "__counts.*")
 
 
 def base_failed() -> F.Column:
@@ -97,19 +103,25 @@ def bucket_of(value: str) -> str:
 
 def sketches(counts: DataFrame, groups: list[str]) -> DataFrame:
     """groups, measure, bucket, n: the sketches of documents that passed the base rules."""
-    measured = counts.where(~base_failed()).select(*groups, F.expr("stack(%d, %s) as (measure, value)" % (len(MEASURES), ", ".join(f"'{m}', cast({e} as double)" for m, (e, _) in MEASURES.items()))))
+    measured = counts.where(~base_failed()).select(*groups, F.expr("stack(%d, %s) as (measure, value)" % (len(MEASURES), ", ".join(f"'{m}', {hits} / cast({size} as double)" for m, (hits, size) in MEASURES.items()))))
     return measured.groupBy(*groups, "measure", F.expr(bucket_of("value")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def _fences(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and measure: documents, and the fence before slack. One row per group, measure and bucket comes in,
-    of which there are at most about 600 a group and measure, whatever the number of documents."""
+    """Per group and measure: documents, fence, non-zero documents and the fence of the non-zero part. One row per group,
+    measure and bucket comes in, of which there are at most about 600 a group and measure, whatever the number of documents."""
     by = [*groups, "measure"]
     w = Window.partitionBy(*by)
-    ranked = sketch.withColumn("total", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
+    some = F.when(F.col("bucket") >= 0, F.col("n")).otherwise(0)
+    upto = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sketch.select(*by, "bucket", "n", F.sum("n").over(w).alias("total"), F.sum("n").over(upto).alias("upto"), F.sum(some).over(w).alias("some"), F.sum(some).over(upto).alias("some_upto"))
     value = F.expr(f"case when bucket < 0 then 0D else pow(cast({GAMMA} as double), bucket - 1000 + 0.5) end")
-    q = {name: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), value)).alias(name) for name, share in (("q1", 0.25), ("q3", 0.75))}
-    return ranked.groupBy(*by).agg(F.max("total").alias("docs"), *q.values()).select(*by, "docs", (F.col("q3") + SPREAD * (F.col("q3") - F.col("q1"))).alias("fence"))
+    whole = {name: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), value)).alias(name) for name, share in (("q1", 0.25), ("q3", 0.75))}
+    part = {name: F.min(F.when((F.col("bucket") >= 0) & (F.col("some_upto") >= F.ceil(F.col("some") * share)), F.col("bucket"))).alias(name) for name, share in (("p1", 0.25), ("p3", 0.75))}
+    found = ranked.groupBy(*by).agg(F.max("total").alias("docs"), F.max("some").alias("some"), (F.sum(F.col("n") * value) / F.sum("n")).alias("mean"), *whole.values(), *part.values())
+    fence = F.col("q3") + SPREAD * (F.col("q3") - F.col("q1"))
+    burst = F.expr(f"pow(cast({GAMMA} as double), p3 + {BURST_SPREAD} * (p3 - p1) - 1000 + 0.5)")
+    return found.select(*by, "docs", F.when(F.col("measure").isin(*SPARSE), F.greatest(fence, "mean")).otherwise(fence).alias("fence"), "some", F.when(F.col("measure").isin(*BURSTS), burst).alias("burst"))
 
 
 def thresholds(counts: DataFrame, least_group: int) -> DataFrame:
@@ -122,16 +134,16 @@ def thresholds(counts: DataFrame, least_group: int) -> DataFrame:
     }
     out = None
     for name, (sketch, groups) in merged.items():
-        fences = _fences(sketch, groups).withColumnsRenamed({"docs": f"docs_{name}", "fence": f"fence_{name}"})
+        fences = _fences(sketch, groups).withColumnsRenamed({c: f"{c}_{name}" for c in ("docs", "fence", "some", "burst")})
         if out is None:
             out = fences
         else:
             right = fences.withColumnsRenamed({g: f"r_{g}" for g in [*groups, "measure"]})
             on = [F.col(g).eqNullSafe(F.col(f"r_{g}")) for g in [*groups, "measure"]]
             out = out.join(right, on, "left").drop(*[f"r_{g}" for g in [*groups, "measure"]])
-    fence = F.when(F.col("docs_by_source") >= least_group, F.col("fence_by_source")).when(F.col("docs_by_lang") >= least_group, F.col("fence_by_lang")).otherwise(F.col("fence_by_all"))
-    limits = [F.max(F.when(F.col("measure") == m, fence + slack)).alias(f"most_{m}") for m, (_, slack) in MEASURES.items()]
-    return out.groupBy("__lang", "__source").agg(*limits)
+    level = lambda what, size: F.when(F.col(f"{size}_by_source") >= least_group, F.col(f"{what}_by_source")).when(F.col(f"{size}_by_lang") >= least_group, F.col(f"{what}_by_lang")).otherwise(F.col(f"{what}_by_all"))
+    limit = F.greatest(level("fence", "docs"), level("burst", "some"))
+    return out.groupBy("__lang", "__source").agg(*[F.max(F.when(F.col("measure") == m, limit)).alias(f"most_{m}") for m in MEASURES])
 
 
 def quality_filter(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_group: int = 100, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -145,7 +157,7 @@ def quality_filter(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     limits = thresholds(counts, least_group).withColumnsRenamed({"__lang": "g_lang", "__source": "g_source"})
     joined = counts.join(limits, F.col("__lang").eqNullSafe(F.col("g_lang")) & F.col("__source").eqNullSafe(F.col("g_source")), "left")
     fits = F.lit(True)
-    for m, (e, _) in MEASURES.items():
-        fits = fits & (F.expr(e) <= F.col(f"most_{m}"))
+    for m, (hits, size) in MEASURES.items():
+        fits = fits & (F.expr(f"({hits} - {SIGMAS}D * sqrt({hits})) / nullif({size}, 0)") <= F.col(f"most_{m}"))
     failed = base_failed()
     return joined.select(F.col("__id").alias(id_col), *keep, *COUNTS, failed.alias("base_failed"), F.when(failed, False).otherwise(F.coalesce(fits, F.lit(True))).alias("kept"))

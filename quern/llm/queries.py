@@ -112,16 +112,19 @@ r AS (SELECT doc_id, i FROM t QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
 c AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY 1),
 base AS (SELECT w.doc_id AS doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, n_symbols, len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
-m AS (SELECT doc_id, lang, source, 'symbol' AS measure, 0.2 AS slack, n_symbols / n_words AS value FROM base WHERE NOT base_failed
-    UNION ALL SELECT doc_id, lang, source, 'dup_line', 0.35, n_dup_lines / n_lines FROM base WHERE NOT base_failed
-    UNION ALL SELECT doc_id, lang, source, 'repeat', 0.35, n_repeat_words / n_words FROM base WHERE NOT base_failed
-    UNION ALL SELECT doc_id, lang, source, 'mean_word', 2.0, word_chars / n_words FROM base WHERE NOT base_failed),
-s AS (SELECT lang, source, measure, CASE WHEN value > 0 THEN CAST(floor(ln(greatest(value, 0.000001)) / ln(1.05) + 1000) AS INTEGER) ELSE -1 END AS bucket, count(*) AS n FROM m GROUP BY ALL),
+m AS (SELECT doc_id, lang, source, 'symbol' AS measure, n_symbols AS hits, n_words AS size FROM base WHERE NOT base_failed
+    UNION ALL SELECT doc_id, lang, source, 'dup_line', n_dup_lines, n_lines FROM base WHERE NOT base_failed
+    UNION ALL SELECT doc_id, lang, source, 'repeat', n_repeat_words, n_words FROM base WHERE NOT base_failed
+    UNION ALL SELECT doc_id, lang, source, 'mean_word', word_chars, n_words FROM base WHERE NOT base_failed),
+s AS (SELECT lang, source, measure, CASE WHEN hits > 0 THEN CAST(floor(ln(greatest(hits / size, 0.000001)) / ln(1.05) + 1000) AS INTEGER) ELSE -1 END AS bucket, count(*) AS n FROM m GROUP BY ALL),
 l AS (SELECT 1 AS level, lang, source, measure, bucket, n FROM s UNION ALL SELECT 2, lang, NULL, measure, bucket, sum(n) FROM s GROUP BY ALL UNION ALL SELECT 3, NULL, NULL, measure, bucket, sum(n) FROM s GROUP BY ALL),
-u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure) AS total, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS upto, CASE WHEN bucket < 0 THEN 0 ELSE pow(1.05::DOUBLE, bucket - 1000 + 0.5) END AS value FROM l),
-q AS (SELECT level, lang, source, measure, max(total) AS docs, min(value) FILTER (upto >= ceil(total * 0.75)) AS q3, min(value) FILTER (upto >= ceil(total * 0.25)) AS q1 FROM u GROUP BY ALL),
-f AS (SELECT *, q3 + 3.0 * (q3 - q1) AS fence FROM q),
-v AS (SELECT m.doc_id AS doc_id, bool_and(m.value <= CASE WHEN a.docs >= 100 THEN a.fence WHEN b.docs >= 100 THEN b.fence ELSE e.fence END + m.slack) AS fits FROM m
+u AS (SELECT *, sum(n) OVER g AS total, sum(n) OVER (g ORDER BY bucket) AS upto, coalesce(sum(n) FILTER (bucket >= 0) OVER g, 0) AS nz, coalesce(sum(n) FILTER (bucket >= 0) OVER (g ORDER BY bucket), 0) AS nz_upto,
+    CASE WHEN bucket < 0 THEN 0 ELSE pow(1.05::DOUBLE, bucket - 1000 + 0.5) END AS value FROM l WINDOW g AS (PARTITION BY level, lang, source, measure)),
+q AS (SELECT level, lang, source, measure, max(total) AS docs, max(nz) AS nz, sum(n * value) / sum(n) AS mean, min(value) FILTER (upto >= ceil(total * 0.75)) AS q3, min(value) FILTER (upto >= ceil(total * 0.25)) AS q1,
+    min(bucket) FILTER (bucket >= 0 AND nz_upto >= ceil(nz * 0.75)) AS p3, min(bucket) FILTER (bucket >= 0 AND nz_upto >= ceil(nz * 0.25)) AS p1 FROM u GROUP BY ALL),
+f AS (SELECT level, lang, source, measure, docs, nz, CASE WHEN measure = 'symbol' THEN greatest(q3 + 3.0 * (q3 - q1), mean) ELSE q3 + 3.0 * (q3 - q1) END AS fence,
+    CASE WHEN measure IN ('dup_line', 'repeat') THEN pow(1.05::DOUBLE, p3 + 1.5 * (p3 - p1) - 1000 + 0.5) END AS burst FROM q),
+v AS (SELECT m.doc_id AS doc_id, bool_and((m.hits - 3.0 * sqrt(m.hits)) / m.size <= greatest(CASE WHEN a.docs >= 100 THEN a.fence WHEN b.docs >= 100 THEN b.fence ELSE e.fence END, CASE WHEN a.nz >= 100 THEN a.burst WHEN b.nz >= 100 THEN b.burst ELSE e.burst END)) AS fits FROM m
     JOIN f a ON a.level = 1 AND a.measure = m.measure AND a.lang IS NOT DISTINCT FROM m.lang AND a.source IS NOT DISTINCT FROM m.source
     JOIN f b ON b.level = 2 AND b.measure = m.measure AND b.lang IS NOT DISTINCT FROM m.lang JOIN f e ON e.level = 3 AND e.measure = m.measure GROUP BY 1)
 SELECT base.doc_id AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(fits, false) AS kept FROM base LEFT JOIN v ON base.doc_id = v.doc_id
