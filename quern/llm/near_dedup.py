@@ -6,8 +6,8 @@ signatures that differ in at most MOST symbols have, by the pigeonhole principle
 (MOST < 2 * CHUNKS); so each chunk is indexed once for each symbol that may differ, with that symbol left out, and
 every pair within the signature distance shares an index key. At the similarity of 0.8 a pair's distance exceeds MOST
 with a chance of 1 in 10,000; above it the chance falls fast. Candidates within the distance are compared by the SKETCH
-least hashes of their sets, which are whole sets for shorter texts, and must come within four standard deviations of the
-similarity asked for; what is left is confirmed on the full sets.
+least hashes of their sets, which are whole sets for shorter texts, and must come within DEVIATIONS standard deviations of
+the similarity asked for (five lose one pair in three million just at it); what is left is confirmed on the full sets.
 
 No group is expanded into its pairs. Equal sets become one class first. Within a key each class is tested against the
 key's smallest class only, and what is linked becomes one component. A second pass looks only at keys that still hold
@@ -31,7 +31,7 @@ from .text_arrays import U64, Words, mix, shingle_sets, slices, string_buffers
 POSITIONS, WIDTH = 32, 4
 CHUNKS = POSITIONS // WIDTH
 MOST = 2 * CHUNKS - 1
-SKETCH = 256
+SKETCH, DEVIATIONS = 256, 5
 #: Rows in a block of a comparison, and members in a group of a confirmation.
 BLOCK, GROUP = 1024, 256
 #: Rows (of three numbers) up to which the candidates' ids are broadcast to where the texts are; beyond, both sides are shuffled.
@@ -67,7 +67,7 @@ def sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether a sketch allows the similarity with each row of a matrix of sketches. Both are complete below the lesser of
-    their last hashes; if neither is cut, one hash of difference is allowed for, else four standard deviations."""
+    their last hashes; if neither is cut, one hash of difference is allowed for, else DEVIATIONS standard deviations."""
     whole = a[-1] == _NONE, b[:, -1] == _NONE
     upto = np.minimum(_NONE - np.uint32(1) if whole[0] else a[-1], np.where(whole[1], _NONE - np.uint32(1), b[:, -1]))
     inside = b <= upto[:, None]
@@ -75,7 +75,7 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     common = ((a[at] == b) & inside).sum(axis=1)
     union = np.searchsorted(a, upto, "right") + inside.sum(axis=1) - common
     share = percent / 100
-    slack = np.where(whole[0] & whole[1], 1.0, 4 * np.sqrt(share * (1 - share) * union))
+    slack = np.where(whole[0] & whole[1], 1.0, DEVIATIONS * np.sqrt(share * (1 - share) * union))
     return common >= share * union - slack
 
 
@@ -158,7 +158,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, sh
     """Those of pairs (a, b) whose full sets have 100 * intersection >= percent * union. Pairs are dealt by a, in
     groups of about GROUP members; each group holds a's text once."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    dealt = materialize(pairs.join(sizes, "a").select("a", "b", "parts", F.pmod(F.xxhash64("b"), "parts").alias("part")))
+    dealt = materialize(pairs.join(sizes, "a").select("a", "b", "parts", F.pmod(F.xxhash64("b"), "parts").alias("part")), pairs.count())
     wanted = dealt.select(F.col("b").alias("id"), "a", "part").unionByName(dealt.select("a", "parts").distinct().select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     needed = texts.join(F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted, "id")
@@ -237,19 +237,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     if percent < 80:
         raise ValueError("the signature distance is set for 80 per cent and above")
     table = materialize(signed(docs, id_col, text_col, shingle))
+    n = table.count()
     usable = table.where("doc_id is not null and n_shingles > 0")
     groups = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min(F.struct("sig", "sketch")).alias("s")).select("set_key", "id", "s.*")
     # one id may stand for several sets where ids repeat: one of its sets is enough, as equal ids are one component
-    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig", "sketch")).alias("one")).select("id", "one.sig", "one.sketch"))
+    classes = materialize(groups.groupBy("id").agg(F.min(F.struct("set_key", "sig", "sketch")).alias("one")).select("id", "one.sig", "one.sketch"), n, 20_000)
     members = materialize(_members(classes))
     several = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    shared = materialize(members.join(several, "key"))
-    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes, percent))
-    links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent))
+    shared = materialize(members.join(several, "key"), n * POSITIONS, 1_000_000)
+    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes, percent), n, 50_000)
+    links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent), n, 50_000)
     labels = components(links)
-    more = materialize(_across(shared.select("key", "id"), classes, labels, percent).join(star, ["a", "b"], "left_anti"))
+    more = materialize(_across(shared.select("key", "id"), classes, labels, percent).join(star, ["a", "b"], "left_anti"), n, 50_000)
     if not more.isEmpty():
-        links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)))
+        links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)), n, 50_000)
         labels = components(links)
     reps = groups.select("set_key", "id").join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component"))
     out = table.join(reps, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

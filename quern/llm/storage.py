@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import math
+import re
 import tempfile
 import uuid
 
@@ -10,18 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where it is unset, as in tests, a temporary one is made."""
+    """The folder named by spark.checkpoint.dir. Where it is unset a temporary one is made, but only under a local master:
+    other executors would not see it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[(?!.*-cluster)|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="quern-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, rows: int | None = None, rows_a_file: int = 250_000) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back, so that a lost executor costs no recomputation
-    and the lineage stays short. Column names must be distinct. The table is deleted when the driver exits."""
+    and the lineage stays short. Column names must be distinct. The table is deleted when the driver exits.
+
+    rows: about how many rows there are, if known. A table then has no more files than rows_a_file asks for, or than
+    there are cores if that is more; files in their thousands for a few rows cost more than the rows."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_a_file)))
     path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete, spark, path)
