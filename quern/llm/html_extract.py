@@ -1,31 +1,33 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines: a block element or a line break ends one. Lines inside containers that are not article
-text by their element, role, class or id keep their place but count no text; so do lines that are nearly all link text.
-The lengths of WINDOW lines from each line on are added up. Text surges where the sum rises above SURGE after a stretch
-below it and dives where it falls to nothing; the lines between a surge and its dive are a span. Where the page marks
-its article (article, main, role=main), only marked lines count and any text in them is a surge. All spans' text lines
-are kept if the page marks its article. Else all text lines are kept in the least container that holds the longest span,
-and outside it those of the spans that hold a fair part of the longest one's text."""
+Markup is read in one pass and stripped into lines: a block element or a line break ends one. A line weighs its characters,
+MARKED times as much where the page marks its article (article, main, role=main) around it. Lines inside containers that
+are not article text by their element, role, class or id weigh nothing; so do lines outside a mark that are nearly all link
+text. The weights of WINDOW lines from each line on are added up. Text surges where the sum reaches SURGE and
+dives where it falls to nothing, below SURGE at the edge of a section, or at the edge of a mark; the lines between a surge and its dive are a span.
+All lines with weight are kept in the least container that holds the heaviest span, or the outermost mark around it, and
+outside it those of the spans that have a fair part of the heaviest one's weight."""
 
 from __future__ import annotations
 
 import html
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, SURGE, LINKS, FAIR = 3, 80, 0.6, 0.25
+WINDOW, SURGE, LINKS, FAIR, MARKED = 3, 80, 0.6, 0.25, 80
 
 # HTML element and attribute names.
-_RAW = "script style noscript template textarea iframe svg math object select option title"
+_RAW = frozenset("script style noscript textarea iframe title xmp noembed noframes".split())
 _BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NOISE = frozenset("head nav header footer aside form button dialog menu label input fieldset legend".split())
+_NOISE = frozenset("head nav header footer aside form button dialog menu label input fieldset legend template svg math object select datalist canvas audio video".split())
+_INLINE = frozenset("button label input svg math object select datalist canvas audio video template".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _NOISE_NAMES = frozenset(
     "ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menus sidebar sidebars aside footer header masthead topbar toolbar breadcrumb breadcrumbs "
@@ -51,10 +53,13 @@ _HIDES = {"li": _CELLS | {"ul", "ol", "menu", "dir"}, **dict.fromkeys(("dd", "dt
 _CONTAINERS = frozenset("body center div main article td th".split())
 _SECTIONS = frozenset("article aside blockquote body div dl fieldset figure footer form header main menu nav ol section table ul details dialog".split())
 
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
-_RAW_TEXT = re.compile(rf"<({'|'.join(_RAW.split())})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))", re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
+_OPEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|!--|[!?/])")
+#: The rest of a tag: a quoted value may hold its end, a quote that nothing closes is passed over. Nothing is read twice.
+_REST = re.compile(r"""((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+)>""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_MAIN = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
+_HEADER = re.compile(r"\b(?:class|id)\s*=\s*(?:\"[^\"]*header|'[^']*header|[^\s\"'>]*header)", re.I)
 _NAME = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"\s+")
 
@@ -81,6 +86,43 @@ def _names(value: str) -> bool:
     return bool(parts) and parts[0] not in _LAYOUT and (parts[0] in _NOISE_NAMES or parts[-1] in _NOISE_NAMES)
 
 
+def tags(page: str, text: Callable[[str], None], tag: Callable[[str, str, bool], None]) -> None:
+    """Calls text with every run of text and tag with every tag (name in lower case, attributes, whether it ends an element),
+    in page order. Comments, declarations and what stands in elements of raw text are passed over; what is left open ends
+    with the page."""
+    at = 0
+    while m := _OPEN.search(page, at):
+        if m.start() > at:
+            text(page[at : m.start()])
+        at = m.end()
+        if m[2] is None:
+            if m[0] == "<!--":
+                if found := re.compile("-?>").match(page, at):
+                    at = found.end()
+                    continue
+                ends = "-->"
+            else:
+                ends = "]]>" if page.startswith("[CDATA[", at) else ">"
+            end = page.find(ends, at)
+            if end < 0:
+                return
+            at = end + len(ends)
+            continue
+        rest = _REST.match(page, at)
+        if not rest:
+            return
+        at, name = rest.end(), m[2].lower()
+        if name in _RAW and not m[1]:
+            if not rest[1].endswith("/"):
+                end = _RAW_END[name].search(page, at)
+                if not end:
+                    return
+                at = end.start()
+        elif name not in _RAW:
+            tag(name, rest[1], bool(m[1]))
+    text(page[at:])
+
+
 class _Line:
     __slots__ = ("parts", "links", "clean", "marked", "edge", "place")
 
@@ -93,14 +135,14 @@ class _Line:
         self.clean = self.clean or not (noise or text.isspace() or not text)
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], list[int]]:
-    """Text, link characters, noise, marked as article, first of a section and container, of each line with text; and
-    the container around each container, whose number is less (0 is the page)."""
-    page = _RAW_TEXT.sub(" ", _COMMENT.sub("", page))
-    stack: list[tuple[str, bool, bool, int]] = []
-    around = [0]
+def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], list[int], list[bool]]:
+    """Text, link characters, noise, marked as article, first of a section and container, of each line with text; and of
+    each container the one around it, whose number is less (0 is the page), and whether it is a mark. Within a mark a heading
+    is text even where it stands in a header."""
+    stack: list[tuple[str, bool, bool, int, bool]] = []
+    around, is_mark = [0], [False]
     opened: Counter[str] = Counter()
-    noise = marked = 0
+    noise = marked = soft = 0
     links = 0
     out = [_Line(False, False, 0)]
 
@@ -115,10 +157,10 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], l
         return -1
 
     def end(first: int, after: int | None = None) -> None:
-        nonlocal noise, marked
+        nonlocal noise, marked, soft
         if first >= 0:
-            for t, n, a, _ in stack[first:after]:
-                noise, marked = noise - n, marked - a
+            for t, n, a, _, h in stack[first:after]:
+                noise, marked, soft = noise - n, marked - a, soft - h
                 opened[t] -= 1
             del stack[first:after]
 
@@ -133,46 +175,48 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], l
         else:
             end(innermost((tag,), _BLOCKS))
 
-    at = 0
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            text = page[at : m.start()]
-            out[-1].add(text, noise)
-            if links:
-                out[-1].links += len(text.strip())
-        at = m.end()
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "a":
+    def text(found: str) -> None:
+        out[-1].add(found, noise - soft if soft and any(opened[t] for t in _HEADINGS) else noise)
+        if links:
+            out[-1].links += len(found.strip())
+
+    def tag(name: str, attributes: str, ends: bool) -> None:
+        nonlocal noise, marked, soft, links
+        if ends:
+            if name == "a":
                 links = 0
-            end_tag(tag)
+            end_tag(name)
         else:
-            if tag == "a":
+            if name == "a":
                 links = 1
-                end_tag(tag)
-            if tag in ("body", "main"):  # neither stands inside a head, a menu or the like: what is open there was never closed
-                stack, noise, marked = [], 0, 0
+                end_tag(name)
+            if name in ("body", "main"):  # neither stands inside a head, a menu or the like: what is open there was never closed
+                stack.clear()
+                noise = marked = soft = 0
                 opened.clear()
-            if tag not in _VOID and not m[3].endswith("/"):
-                if tag in _BLOCKS and tag not in _IN_P:
+            if name not in _VOID and not attributes.endswith("/"):
+                if name in _BLOCKS and name not in _IN_P:
                     end(innermost(("p",), _BLOCKS))
-                if tag in _IMPLIED:
-                    end(innermost(*_IMPLIED[tag]))
-                bad = _is_noise(tag, m[3])
-                good = tag in ("article", "main") or (tag in _SECTIONS and re.search(r"\brole\s*=\s*[\"']?main\b", m[3]) is not None)
-                if bad or good or tag in _BLOCKS or opened[tag]:  # of other elements, those inside an open one of that name
+                if name in _IMPLIED:
+                    end(innermost(*_IMPLIED[name]))
+                bad = _is_noise(name, attributes)
+                good = name in ("article", "main") or (name in _SECTIONS and _MAIN.search(attributes) is not None)
+                if bad or good or name in _BLOCKS or opened[name]:  # of other elements, those inside an open one of that name
                     place = stack[-1][3] if stack else 0
-                    if tag in _CONTAINERS:
+                    if name in _CONTAINERS or good:
                         around.append(place)
+                        is_mark.append(good and not bad)
                         place = len(around) - 1
-                    stack.append((tag, bad, good, place))
-                    opened[tag] += 1
-                    noise, marked = noise + bad, marked + good
-        if tag in _BLOCKS:
-            out.append(_Line(marked > 0, tag in _SECTIONS, stack[-1][3] if stack else 0))
-        elif tag in _NOISE:
+                    head = bad and marked > 0 and (name == "header" or (name in _CONTAINERS and _HEADER.search(attributes) is not None))
+                    stack.append((name, bad, good, place, head))
+                    opened[name] += 1
+                    noise, marked, soft = noise + bad, marked + good, soft + head
+        if name in _BLOCKS:
+            out.append(_Line(marked > 0, name in _SECTIONS, stack[-1][3] if stack else 0))
+        elif name in _NOISE and name not in _INLINE:
             out.append(_Line(marked > 0, False, stack[-1][3] if stack else 0))
-    out[-1].add(page[at:], noise)
+
+    tags(page, text, tag)
     found = []
     edge = False
     for line in out:
@@ -181,17 +225,19 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool, bool, int]], l
         if text:
             found.append((text, line.links, not line.clean, line.marked, edge, line.place))
             edge = False
-    return found, around
+    return found, around, is_mark
 
 
-def least_container(places: list[int], around: list[int]) -> list[bool]:
-    """Of each container, whether it is the least one that holds all places or lies in it."""
+def main_container(places: list[int], around: list[int], is_mark: list[bool]) -> list[bool]:
+    """Of each container, whether it is the least one that holds all places, or the outermost mark around that, or lies in it."""
     held = [0] * len(around)
     for place in places:
         held[place] += 1
     for k in range(len(around) - 1, 0, -1):
         held[around[k]] += held[k]
-    least = max(k for k, n in enumerate(held) if n == len(places))
+    least = at = max(k for k, n in enumerate(held) if n == len(places))
+    while at:
+        least, at = (at if is_mark[at] else least), around[at]
     inside = [False] * len(around)
     for k in range(least, len(around)):
         inside[k] = k == least or inside[around[k]]
@@ -202,31 +248,29 @@ def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by line feeds; empty for null, empty or textless pages."""
     if not page:
         return ""
-    lines, around = lines_of(page)
-    has_mark = any(marked and not noise for _, _, noise, marked, *_ in lines)
-    sizes = []
-    for text, links, noise, marked, *_ in lines:
-        beside = noise or (has_mark and not marked) or (not has_mark and links >= LINKS * len(text))
-        sizes.append(0 if beside else len(text))
-    least = 1 if has_mark else SURGE
+    lines, around, is_mark = lines_of(page)
+    weights = [0 if noise else len(text) * MARKED if marked else 0 if links >= LINKS * len(text) else len(text) for text, links, noise, marked, *_ in lines]
+    sums = [sum(weights[k : k + WINDOW]) for k in range(len(weights))]
     spans: list[list[int]] = []
     inside = False
-    for k in range(len(sizes)):
-        if inside and (not any(sizes[k : k + WINDOW]) or (not has_mark and lines[k][4] and sum(sizes[k : k + WINDOW]) < SURGE)):
+    for k, total in enumerate(sums):
+        if inside and (not total or (lines[k][4] and total < SURGE) or lines[k][3] != lines[k - 1][3]):
             inside = False
-        if not inside and sizes[k] and sum(sizes[k : k + WINDOW]) >= least:
+        if not inside and weights[k] and total >= SURGE:
             inside = True
             spans.append([])
-        if inside and sizes[k]:
+        if inside and weights[k]:
             spans[-1].append(k)
-    if not spans:
-        spans = [[k for k, n in enumerate(sizes) if n]] if any(sizes) else []
-    weight = [sum(sizes[k] for k in s) for s in spans]
-    most = max(weight, default=0)
-    kept = {k for s, w in zip(spans, weight, strict=True) if has_mark or w >= FAIR * most for k in s}
-    if spans and not has_mark:
-        inside = least_container([lines[k][5] for k in spans[weight.index(most)]], around)
-        kept |= {k for k, n in enumerate(sizes) if n and inside[lines[k][5]]}
+    if not spans:  # a page of few words: its heaviest window
+        if not any(weights):
+            return ""
+        k = sums.index(max(sums))
+        spans = [[j for j in range(k, min(k + WINDOW, len(weights))) if weights[j]]]
+    heavy = [sum(weights[k] for k in s) for s in spans]
+    main = heavy.index(max(heavy))
+    kept = {k for s, w in zip(spans, heavy, strict=True) if w >= FAIR * heavy[main] for k in s}
+    held = main_container([lines[k][5] for k in spans[main]], around, is_mark)
+    kept |= {k for k, w in enumerate(weights) if w and held[lines[k][5]]}
     return "\n".join(lines[k][0] for k in sorted(kept))
 
 

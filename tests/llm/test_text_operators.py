@@ -57,6 +57,39 @@ def test_short_lines_in_the_container_of_the_main_span():
     assert html_extract.main_text(PAGE % ("<div><p>%s</p>%s<p>So.</p><p>%s</p><p>End.</div><div>Beside.</div>" % (long, shop, tail))) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<script>if (a) { x = '<!--' }</script><article><p>%s</article>", LONG),
+        ("<!--><article><p>%s</article>", LONG),
+        ("<!-- <article> > -- --><article><p>%s</article>", LONG),
+        ("<article><datalist><option value=a><option value=b></datalist><p>%s</article>", LONG),
+        ("<article><select><option>One<option>Two</select><p>%s</article>", LONG),
+        ("<header><h1>Site</h1></header><article><header><h1>Title</h1><p>by me</header><p>%s</article>", "Title\n" + LONG),
+        ("<article><div class=article-header><h1>Title</h1><p>by me</div><p>%s</article>", "Title\n" + LONG),
+        ("<article><p>Press the <button>OK</button> key of <label>this</label> one.<p>%s</article>", "Press the OK key of this one.\n" + LONG),
+        ("<h2>Head</h2><div class=ad>Buy</div><p>Short.</p><div class=ad>Buy</div><p>%s</p>", "Head\nShort.\n" + LONG),
+        ("<article><p title='a > b'>%s</article>", LONG),
+        ("<article><svg><title>x</title><text>y</text></svg><p>%s<iframe>z</iframe></article>", LONG),
+    ],
+)
+def test_odd_but_legal_markup(page, expected):
+    assert html_extract.main_text(page % LONG) == expected
+
+
+def test_weights_decide_over_marks():
+    """A teaser that a page marks does not outweigh text a hundred times as long."""
+    text = "\n".join(("word " * 80).strip() for _ in range(40))
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    assert html_extract.main_text(f"<div><article><p>Teaser.</p></article></div><div>{body}</div>").endswith(text)
+    assert html_extract.main_text(f"<div class=x><p>{'beside ' * 40}</p></div><article>{body}<ul><li>a<li>b</ul></article>") == text + "\na\nb"
+
+
+def test_reading_is_linear():
+    for unit in ("<script ", "<a ", '<a "', "<a x=\"'", "<!--", "<p x=' \"", "<option>", "<textarea>"):
+        html_extract.main_text(unit * 200_000)
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     pieces = ["<article>", "</article>", "<p", ">", "text & more", "<!--", "-->", "<script>", "</script>", "&#xZZ;", "<div class='ad", "'>", "\x00", "</nav>", "<nav>", "é"]
