@@ -63,6 +63,59 @@ def test_held_out_toxicity(spark, labelled):
     assert all(got[i].evidence and {e.label for e in got[i].evidence} <= {0, 1} for i, _, y in labelled if y)
 
 
+def by_dense_cosine(rows, labels, base):
+    """Cosines of every text to every labelled one, over dense vectors of features made from words by hand."""
+    letters = lambda t: re.findall(r"[a-z\u0080-\U0010ffff]+", t.lower())
+    kinds = lambda t: [w for w in letters(t)] + [f"{w.encode()[:k]}" for w in letters(t) for k in (4, 5, 6) if len(w.encode()) >= k]
+    found = {i: {f: kinds(t).count(f) for f in set(kinds(t))} for i, t in rows}
+    pos, n = {}, {}
+    for i, y in labels.items():
+        for f in found[i]:
+            pos[f], n[f] = pos.get(f, 0) + y, n.get(f, 0) + 1
+    need, z, strength = math.log(len(n) / 0.05), 1.64, {}
+    for f in n:
+        p = pos[f] / n[f]
+        lower = (p + z * z / (2 * n[f]) - z * math.sqrt(p * (1 - p) / n[f] + z * z / (4 * n[f] ** 2))) / (1 + z * z / n[f])
+        if p > base and lower >= 0.5:
+            surprise = n[f] * (p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0))
+            strength[f] = max(min(1, surprise / need) ** 4, 0.01)
+        elif not f.startswith("b'"):
+            strength[f] = 0.01
+    names = sorted(strength)
+    df = {f: sum(f in x for x in found.values()) for f in names}
+    dense = {}
+    for i, x in found.items():
+        v = np.array([(1 + math.log(x[f])) * (math.log((len(rows) + 1) / (df[f] + 1)) + 1) * strength[f] if f in x else 0.0 for f in names])
+        dense[i] = v / np.sqrt((v * v).sum())
+    return {i: {j: float(v @ dense[j]) for j in labels if j != i} for i, v in dense.items()}
+
+
+def test_toxicity_against_dense_cosine(spark, labelled):
+    some = labelled[:160]
+    labels = {i: y for i, _, y in some if i % 2 == 0}
+    base = (sum(labels.values()) + 0.5) / (len(labels) + 1)
+    want = by_dense_cosine([(i, t) for i, t, _ in some], labels, base)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in some], "doc_id bigint, text string")
+    got = toxicity.score_texts(docs, spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")).collect()
+    votes = {}
+    for r in got:
+        order = sorted(want[r.doc_id].items(), key=lambda x: (-round(x[1], 9), x[0]))[:15]
+        near = [(j, c) for j, c in order if c > 0]
+        assert np.allclose([e.cosine for e in r.evidence], [c for _, c in near], atol=1e-9)
+        assert r.doc_id not in {e.example for e in r.evidence}
+        assert all(abs(want[r.doc_id][e.example] - e.cosine) < 1e-9 and e.label == labels[e.example] for e in r.evidence)
+        votes[r.doc_id] = (sum(e.cosine * e.label for e in r.evidence) + base) / (sum(e.cosine for e in r.evidence) + 1), r.score
+    steps = toxicity.isotonic(np.array([votes[i][0] for i in sorted(labels, key=lambda i: (labels[i], i))]), np.array(sorted(labels.values()), float))
+    assert all(abs(float(np.interp(v, *steps)) - s) < 1e-6 for v, s in votes.values())
+
+
+def test_a_label_is_no_input_of_its_own_score(spark, labelled):
+    """Of texts with nothing in common, each alone with its label, none finds itself."""
+    docs = spark.createDataFrame([(k, " ".join(f"{a}{b}" for a in ("qu", "za", "vo") for b in chr(97 + k) * 3)) for k in range(20)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k < 3)) for k in range(20)], "doc_id bigint, toxic int")
+    assert len({r.score for r in toxicity.score_texts(docs, labels).collect()}) == 1
+
+
 def test_toxicity_edges(spark, labelled):
     rows = [(i, t, 0.5) for i, t, _ in labelled[:200]] + [(1000, None, 0.5), (1001, "", 0.5), (None, "grumble", 0.5), (1002, "x", 0.1), (1002, "x", 0.1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double")
