@@ -16,7 +16,7 @@ def canonical(text: Column) -> Column:
     compose = lambda c: F.reflect(F.lit(f"{_ICU}.text.Normalizer"), F.lit("compose"), c, F.lit(True))
     folded = compose(F.reflect(F.lit(f"{_ICU}.lang.UCharacter"), F.lit("foldCase"), compose(text), F.lit(True)))
     plain = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
-    return F.when(text.rlike(r"^[\x00-\x7F]*$"), plain).otherwise(F.trim(F.regexp_replace(folded, r"[\s\p{Z}\x{85}]+", " ")))
+    return F.when(text.rlike(r"\A[\x00-\x7F]*\z"), plain).otherwise(F.trim(F.regexp_replace(folded, r"[\s\p{Z}\x{85}]+", " ")))
 
 
 def digest(canon: Column) -> Column:
@@ -25,7 +25,8 @@ def digest(canon: Column) -> Column:
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, next: each row's text and that of the row after it in descending doc_id, the first row's after the last.
+    """doc_id, text, next, f, fs, x, xs: each row's text and that of the row after it in descending doc_id, the first row's
+    after the last; the digest and SHA-256 of the canonical text of either.
 
     Rows are dealt into ranges of doc_id; each range also gets a copy of the next range's first row, so that no task
     orders the whole table. Equal ids are ordered by text; null ids come last."""
@@ -47,14 +48,16 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tops = {r["part"]: r["top"] for r in rows.groupBy("part").agg(F.max("doc_id").alias("top")).collect()}  # a row for each part
     parts = sorted(tops)
     if not parts:
-        return rows.select("doc_id", "text", F.lit("").alias("next"))
+        return rows.select("doc_id", "text", *[F.lit("").alias(c) for c in ("next", "f", "fs", "x", "xs")])
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     heads = docs.sparkSession.createDataFrame([(tops[p], parts[k - 1]) for k, p in enumerate(parts)], "top bigint, into int")
     found = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("into").agg(F.max("text").alias("text"))
     tails = found.select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("into").alias("part"), F.lit(1).alias("tail"))
-    both = rows.withColumn("tail", F.lit(0)).unionByName(tails)
+    both = rows.withColumn("tail", F.lit(0)).unionByName(tails).withColumn("canon", canonical(F.col("text")))
+    both = both.select("doc_id", "text", "part", "tail", digest(F.col("canon")).alias("f"), F.sha2("canon", 256).alias("fs"))
     window = Window.partitionBy("part").orderBy(F.col("tail"), *order)
-    return both.withColumn("next", F.lead("text").over(window)).where("tail = 0").select("doc_id", "text", "next")
+    ahead = [F.lead(c).over(window).alias(to) for c, to in (("text", "next"), ("f", "x"), ("fs", "xs"))]
+    return both.select("doc_id", "text", "tail", "f", "fs", *ahead).where("tail = 0").drop("tail")
 
 
 def edited(text: Column, after: Column) -> Column:
@@ -67,15 +70,16 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next; one row per row of docs.
 
     The fingerprint is an exact digest of the canonical text, so likeness is 1 where two are equal and else 0. Rows are
-    grouped by digest; where a group's canonical bytes differ, the digests in it are extended by a SHA-256, so that
-    equal fingerprints always mean equal canonical texts. Null texts count as empty. Repeated rows return each; their
+    grouped by digest and a group's canonical texts compared by their bytes; edited texts, which are kept nowhere, meet them
+    and each other by SHA-256. Where a group differs, the digests in it are extended by the SHA-256, so that equal
+    fingerprints always mean equal canonical texts. Null texts count as empty. Repeated rows return each; their
     order among equal ids is by text. An empty table gives an empty result; other columns are ignored."""
     rows = with_next(docs, id_col, text_col)
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next")))
-    canon = rows.withColumn("canon", canonical(F.col("text"))).withColumn("edited_canon", canonical(F.col("edited"))).withColumn("next_canon", canonical(F.col("next")))
-    out = canon.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("canon")).alias("f"), digest(F.col("edited_canon")).alias("e"), digest(F.col("next_canon")).alias("x"), F.sha2("canon", 256).alias("fs"), F.sha2("edited_canon", 256).alias("es"), F.sha2("next_canon", 256).alias("xs"))
-    table = materialize(out)
-    clashes = differing(docs.select(canonical(F.col(text_col)).alias("canon")))
+    canon = rows.withColumn("edited", edited(F.col("text"), F.col("next"))).withColumn("canon", canonical(F.col("edited")))
+    table = materialize(canon.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "f", digest(F.col("canon")).alias("e"), "x", "fs", F.sha2("canon", 256).alias("es"), "xs"))
+    both = table.select("f", "fs").unionByName(table.select(F.col("e").alias("f"), F.col("es").alias("fs")))
+    met = both.groupBy("f").agg(F.min("fs").alias("lo"), F.max("fs").alias("hi")).where("lo <> hi").select("f")
+    clashes = materialize(differing(docs.select(canonical(F.col(text_col)).alias("canon"))).unionByName(met).distinct())
     return _named(table, None if clashes.isEmpty() else clashes.select(F.col("f").alias("bad")))
 
 

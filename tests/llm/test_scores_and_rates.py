@@ -184,6 +184,23 @@ def test_digests_of_different_bytes_are_told_apart(spark, monkeypatch):
     assert got[1] == got[3] != got[2]
 
 
+def test_edited_texts_meet_documents(spark, monkeypatch):
+    """Under one digest for all, an edited text equals a document where their canonical texts do, and else doesn't."""
+    docs = spark.createDataFrame([(3, "aabb"), (2, "cc"), (1, "aacc")], "doc_id bigint, text string")
+    for fake in (False, True):
+        if fake:
+            monkeypatch.setattr(fingerprint, "digest", lambda canon: F.lit("same"))
+        got = {r.doc_id: r for r in fingerprint.fingerprints(docs).collect()}
+        assert got[3].edited_fingerprint == got[1].fingerprint != got[3].fingerprint
+        assert got[2].edited_fingerprint not in {r.fingerprint for r in got.values()}
+
+
+def test_line_ends_of_any_alphabet_fold_alike(spark):
+    texts = ["ABC", "ABC\u0085", "ABC\u2028", "abc\n", "\u00c0BC", "\u00c0BC\u0085", "\u00c0bc\u2028"]
+    got = {r.doc_id: r.fingerprint for r in fingerprint.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert len({got[k] for k in range(4)}) == 1 and len({got[k] for k in range(4, 7)}) == 1 and got[0] != got[4]
+
+
 def test_fingerprint_edges(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, None), (2, "x" * 100_000)], "doc_id bigint, text string")
     rows = fingerprint.fingerprints(docs).collect()
