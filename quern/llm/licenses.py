@@ -9,7 +9,6 @@ of the template's words within the longest span that DENSITY allows, whatever st
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -37,14 +36,25 @@ TEMPLATES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "gpl-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "epl-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "cc-by-sa-4.0-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "boost-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
 }
 
 _KEEP = np.full(256, 32, np.uint8)
 _KEEP[48:58] = np.arange(48, 58)
 _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
-_DOT = re.compile(r"(?<=[0-9])\.(?=[0-9])")
 
 
 def word_hashes(column: pa.Array) -> Words:
@@ -129,7 +139,35 @@ def coverage(region: list[int], template: list[int]) -> tuple[float, float, int,
         if enough(best) or hi + 1 >= len(positions):
             break
         start += positions[lo] + 1
-    return best
+    return best if enough(best) else max(best, every_span(region, template), key=lambda x: (enough(x), x[0] * x[1], -x[2]))
+
+
+def every_span(region: list[int], template: list[int]) -> tuple[float, float, int, int]:
+    """The first span of a region whose alignment is enough, for regions whose own is not: words beside a notice can take
+    anchors from it. Only spans are aligned whose longest common subsequence with the template allows it, which the bits of
+    an integer give for all ends of a start in one sweep."""
+    places: dict[int, int] = {}
+    for k, word in enumerate(template):
+        places[word] = places.get(word, 0) | 1 << k
+    whole, need, longest = (1 << len(template)) - 1, COVERAGE * len(template), int(len(template) / DENSITY + 1e-9)
+    for first, word in enumerate(region):
+        if word not in places or len(region) - first < need:
+            continue
+        left = whole
+        for last in range(first, min(first + longest, len(region))):
+            mask = places.get(region[last])
+            if mask is None:
+                continue
+            both = left & mask
+            left = ((left + both) | (left - both)) & whole
+            common = len(template) - left.bit_count()
+            if common >= need - 1e-9 and common >= DENSITY * (last - first + 1):
+                matched = patience(region[first : last + 1], template)
+                span = matched[-1][0] - matched[0][0] + 1 if matched else 1
+                found = (len(matched) / len(template), len(matched) / span, first + matched[0][0], first + matched[-1][0]) if matched else (0.0, 0.0, 0, 0)
+                if enough(found):
+                    return found
+    return (0.0, 0.0, 0, 0)
 
 
 def enough(found: tuple[float, float, int, int]) -> bool:
@@ -176,7 +214,8 @@ class Templates:
         for row in np.flatnonzero(np.diff(at) > 0):
             own, where = hashes[at[row] : at[row + 1]], known[at[row] : at[row + 1]]
             distinct = np.unique(own)
-            for k, name in enumerate(self.names):
+            places = []
+            for k in range(len(self.names)):
                 need = len(self.lists[k]) - (1 - COVERAGE) * len(self.lists[k])
                 spare = len(self.lists[k]) - len(self.sets[k])  # repeats of words in the template
                 if len(distinct) + spare < need or len(np.intersect1d(distinct, self.sets[k], assume_unique=True)) + spare < need:
@@ -191,12 +230,24 @@ class Templates:
                     if enough(found) and found[:2] > best[:2]:
                         best = (*found[:2], found[2] + first, found[3] + first)
                 if best[0]:
-                    yield int(row), name, best[0], best[1], int(best[2] - words.bounds[row]), int(best[3] - best[2] + 1)
+                    places.append((best, k))
+            for best, k in self.told_apart(places):
+                yield int(row), self.names[k], best[0], best[1], int(best[2] - words.bounds[row]), int(best[3] - best[2] + 1)
+
+    def told_apart(self, places: list[tuple[tuple[float, float, int, int], int]]) -> list[tuple[tuple[float, float, int, int], int]]:
+        """Of places of which one has most of its words in the other, the one with the greater coverage, or the longer template
+        among equals: notices of one family share their wording."""
+        kept: list[tuple[tuple[float, float, int, int], int]] = []
+        for best, k in sorted(places, key=lambda x: (-x[0][0], -len(self.lists[x[1]]), x[1])):
+            if all(2 * (min(best[3], other[3]) - max(best[2], other[2]) + 1) <= best[3] - best[2] + 1 for other, _ in kept):
+                kept.append((best, k))
+        return sorted(kept, key=lambda x: x[1])
 
 
 def scan_licenses(docs: DataFrame, *, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license, coverage, density, first_word, n_words: a row for each license found in a row of docs, with the
-    span of its best place (the first of equal ones) in words of the text.
+    span of its best place (the first of equal ones) in words of the text. Where licenses meet in one place, the one that
+    covers it best is named.
 
     Null, empty and unlicensed texts have no row. Repeated rows return each. A null id stays null. Empty tables and
     empty templates give an empty result; other columns are ignored."""

@@ -221,6 +221,35 @@ def test_regions_hold_every_span_that_can_do():
                     assert any(a <= mine[i] and mine[j] <= b for a, b in found)
 
 
+def test_families_are_told_apart(documents, prose):
+    names = ["bsd-2-clause", "bsd-3-clause", "gpl-2.0-notice", "gpl-3.0-notice", "lgpl-2.1-notice", "agpl-3.0-notice", "isc", "0bsd", "cc-by-4.0-line", "cc-by-sa-4.0-line", "apache-2.0-notice", "apache-2.0-line"]
+    rows = [(k, prose(k, 60) + "\n" + licenses.TEMPLATES[n] + "\n" + prose(50 + k, 60), "en", "s", 0) for k, n in enumerate(names)]
+    rows.append((99, licenses.TEMPLATES["mit"] + "\n" + prose(7, 40) + "\n" + licenses.TEMPLATES["bsd-3-clause"], "en", "s", 0))
+    got = sorted((r.doc_id, r.license) for r in licenses.scan_licenses(documents(rows)).collect())
+    assert got == sorted([*enumerate(names), (99, "mit"), (99, "bsd-3-clause")])
+
+
+def test_scan_against_every_span():
+    """Whatever span of a text aligns well enough with the template, the scan reports the license."""
+    rng = random.Random(12)
+    hits = 0
+    for _ in range(60):
+        template = [f"w{rng.randrange(14)}" for _ in range(rng.randrange(8, 13))]
+        known = licenses.Templates({"x": " ".join(template)})
+        copy = [w for w in template if rng.random() < 0.93]
+        for _ in range(rng.randrange(4)):
+            copy.insert(rng.randrange(len(copy) + 1), "foreign")
+        noise = lambda n: [rng.choice(("foreign", "other", "w1", "w5")) for _ in range(n)]
+        text = noise(rng.randrange(12)) + copy + noise(rng.randrange(12))
+        words = licenses.word_hashes(pa.array([" ".join(text)]))
+        hashes = [int(x) for x in words.hash]
+        want = any(licenses.enough((len(m) / len(template), len(m) / (m[-1][0] - m[0][0] + 1), 0, 0)) for i in range(len(hashes)) for j in range(i + 6, len(hashes) + 1) if (m := licenses.patience(hashes[i:j], known.lists[0])))
+        got = bool(list(known.scan(pa.array([" ".join(text)]))))
+        hits += want
+        assert got or not want, text
+    assert hits > 20
+
+
 def test_licenses_edges(spark):
     docs = spark.createDataFrame([(None, licenses.TEMPLATES["isc"], "x"), (1, "Released under the MIT License.", "y"), (1, "Released under the MIT License.", "y")], "doc_id bigint, text string, license string")
     assert len([r for r in licenses.scan_licenses(docs).collect() if r.doc_id == 1]) == 2
