@@ -36,6 +36,9 @@ def encoder(path: str):
         byte_of = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        before = spec.get("pre_tokenizer") or {}
+        if spec["model"]["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or before.get("use_regex") is False or spec.get("normalizer"):
+            raise ValueError("the tokenizer must be a byte-level BPE with the usual splits and no normalizer")
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(byte_of[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in special}
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -14,15 +15,25 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_those_of_the_tokenizers_library(tokenizer, prose):
     texts = ["", " ", "a", "Hello  world\n\n\tit's 1234567 été 你好 \U0001f600", "x" * 3000, "<|endoftext|>", "á \r\n  b ", "\x00\x1c z", prose(1, 500)]
+    rng = random.Random(4)
+    alphabets = ["ab cd", "été ÜßñŁ", "你好世界", "\U0001f600\u200d\u0301", "0123٤५", "\t\n\r\x0b\x1c\x85\xa0\u2028\u3000 ", "'s't're.,!?<|>", "\x00\x7f\ufffd\ue000"]
+    texts += ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randrange(60))) + rng.choice(["", "<|endoftext|>", " <|endoftext|> a"]) for _ in range(2000)]
     for t in texts:
-        assert packing.encoder(PATH).encode_ordinary(t) == tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.encoder(PATH).encode(t, allowed_special="all") == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_a_tokenizer_of_another_form_is_refused(tmp_path):
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        (tmp_path / "t.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError):
+            packing.encoder(str(tmp_path / "t.json"))
+        (tmp_path / "t.json").unlink()
 
 
 ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", " \n <|endoftext|>\n\nx  ", "<|endoftext|", "<|ENDOFTEXT|>", "x<|endoftext|>y <|endof<|endoftext|>text|>"]
