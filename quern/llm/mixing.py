@@ -8,6 +8,7 @@ of those rows and are not stored."""
 from __future__ import annotations
 
 import math
+import warnings
 import zlib
 from collections.abc import Callable
 
@@ -57,7 +58,7 @@ class Classifier:
             parts = [nothing | {w: self.odds[w] for w in names if zlib.crc32(w.encode()) % PARTS == k} for k in range(PARTS)]
             # maps are searched from end to end, so words are dealt over many small ones
             table = F.array(*[F.create_map(*[x for w, odds in part.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in odds]))]) for part in parts])
-            seen = F.array_intersect(features(words), vocabulary)
+            seen = F.array_intersect(features(F.array_distinct(words)), vocabulary)
             scores = F.aggregate(seen, F.array(*[F.lit(p) for p in self.prior]), lambda total, w: F.zip_with(total, F.element_at(F.element_at(table, (F.crc32(w) % PARTS + 1).cast("int")), w), lambda a, b: a + b))
         above = let(scores, lambda s: let(F.array_max(s), lambda most: F.transform(s, lambda x: F.exp(x - most))))
         return let(above, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda whole: F.transform(e, lambda x: x / whole)))
@@ -150,7 +151,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     as leave that domain the expected tokens that it has. With free_anchor the anchor isn't held to its total: its own
     documents keep the rate 1, and only the other domains are brought to their targets. rate is the expected number of times that a document
     is used, copies a draw with that mean by the hash of the id: floor(rate + u). A domain that no document belongs to
-    can't be filled: its total stays what the posteriors give. Null texts have no tokens and keep the classifier's
+    can't be filled: its total stays what the posteriors give. A warning names the totals that miss their targets. Null texts have no tokens and keep the classifier's
     prior; null ids draw like any other value; repeated rows draw alike; an empty table gives an empty result. Columns
     of docs that are named like added ones are left out."""
     domains = sorted(targets)
@@ -166,7 +167,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, total:
     if total is None:
         held = F.col("tokens") if anchor is None else F.col("tokens") * F.col("share__")[domains.index(anchor)] * F.lit(scale / targets[anchor])
         total = float(table.agg(F.sum(held)).first()[0] or 0)
-    steps, _ = solve(table, [targets[d] / scale * total for d in domains], [k for k, d in enumerate(domains) if not (free_anchor and d == anchor)])
+    wanted, held_to = [targets[d] / scale * total for d in domains], [k for k, d in enumerate(domains) if not (free_anchor and d == anchor)]
+    steps, reached = solve(table, wanted, held_to)
+    off = {domains[k]: reached[k] - wanted[k] for k in held_to}
+    if max((abs(x) for x in off.values()), default=0.0) > TOLERANCE * max(1.0, sum(wanted)):
+        warnings.warn(f"domain totals miss their targets by {off}", stacklevel=2)
     rated = table.withColumn("rate", F.round(rate(F.col("share__"), steps), 6))
     named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("share__"))
     return rated.select(*kept, "tokens", named.alias("posteriors"), "rate", F.floor(F.col("rate") + F.col("unit__")).cast("int").alias("copies"))
