@@ -245,12 +245,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = materialize(_members(classes))
     several = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
     shared = materialize(members.join(several, "key"), n * POSITIONS, 1_000_000)
-    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes, percent), n, 50_000)
-    links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent), n, 50_000)
+    star = materialize(_within(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), classes, percent), n, 5_000)
+    links = materialize(_confirmed(star, docs, id_col, text_col, shingle, percent), n, 5_000)
     labels = components(links)
-    more = materialize(_across(shared.select("key", "id"), classes, labels, percent).join(star, ["a", "b"], "left_anti"), n, 50_000)
+    more = materialize(_across(shared.select("key", "id"), classes, labels, percent).join(star, ["a", "b"], "left_anti"), n, 5_000)
     if not more.isEmpty():
-        links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)), n, 50_000)
+        links = materialize(links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent)), n, 5_000)
         labels = components(links)
     reps = groups.select("set_key", "id").join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component"))
     out = table.join(reps, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

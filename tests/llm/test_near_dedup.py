@@ -1,8 +1,11 @@
+import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from quern.llm import near_dedup
 from quern.llm.components import components
@@ -126,3 +129,25 @@ def test_sketches_of_short_sets_are_exact_and_of_long_ones_near():
                 assert got
             elif similarity < 0.8 - 1.5 / len(a) and n < 250 or similarity < 0.6:
                 assert not got
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/documents.parquet"), reason="no test data")
+def test_recall_against_all_pairs_of_a_corpus(spark):
+    """Every link that the shingles of all documents of sf0.01 have, by counting common shingles of all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: shingle_set(r.text, 4) for r in docs.select("doc_id", "text").collect()}
+    holders, common = {}, Counter()
+    for i in sorted(sets):
+        for s in sets[i]:
+            holders.setdefault(s, []).append(i)
+    for own in holders.values():
+        common.update((a, b) for k, a in enumerate(own) for b in own[k + 1 :])
+    links = [(a, b) for (a, b), n in common.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    label = {i: i for i in sets}
+    for _ in links:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if all(label[a] == label[b] for a, b in links):
+            break
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, shingle=4, percent=80).collect()}
+    assert len(links) > 50 and got == label
