@@ -17,11 +17,13 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: Column, t
 def uncovered(df: DataFrame, keys: list[str], start: str, end: str, fallback: str) -> DataFrame:
     """Primary rows, and the fallback rows that overlap no primary interval of their keys.
 
-    In one sort by start, the furthest primary end so far tells an earlier primary that reaches in, and the next primary
-    start tells a later one that begins inside; no pairs are made."""
+    In one sort by start, the furthest primary end so far tells an earlier primary that reaches in; in one the other way
+    round, the least primary start so far tells a later one that begins inside. No pairs are made, and both frames only grow:
+    one that shrinks towards its end would be worked out anew for every row."""
     primary = ~F.col(fallback)
-    before = Window.partitionBy(*keys).orderBy(start, F.col(fallback).cast("int")).rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*keys).orderBy(start, F.col(fallback).cast("int")).rowsBetween(0, Window.unboundedFollowing)
+    last = F.col(fallback).cast("int")
+    before = Window.partitionBy(*keys).orderBy(start, last).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*keys).orderBy(F.col(start).desc(), last.desc()).rowsBetween(Window.unboundedPreceding, 0)
     marked = df.withColumn("__reach", F.max(F.when(primary, F.col(end))).over(before)).withColumn("__next", F.min(F.when(primary, F.col(start))).over(after))
     covered = F.coalesce(F.col("__reach") >= F.col(start), F.lit(False)) | F.coalesce(F.col("__next") <= F.col(end), F.lit(False))
     return marked.where(primary | ~covered).drop("__reach", "__next")

@@ -38,12 +38,13 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
 
 def nearest_common_date(requests: DataFrame, facts: DataFrame, request_date: str, fact_date: str, member: str, required: int) -> DataFrame:
     """For each requested date, the nearest date on which `required` distinct members exist: the last one at or before,
-    else the first one after. Only dates meet, not facts."""
+    else the first one after. Only distinct dates meet, of which a calendar has a few thousand whatever the number of
+    facts, in two sorts whose frames only grow."""
     complete = facts.groupBy(fact_date).agg(F.countDistinct(member).alias("__n")).where(F.col("__n") >= required).select(F.col(fact_date).alias("__date"))
     asked = requests.select(request_date).distinct()
     points = asked.select(F.col(request_date).alias("__at"), F.lit(None).cast("date").alias("__have"), F.lit(1).alias("__side")).unionByName(complete.select(F.col("__date").alias("__at"), F.col("__date").alias("__have"), F.lit(0).alias("__side")))
-    back = F.last("__have", ignorenulls=True).over(Window.orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("__have", ignorenulls=True).over(Window.orderBy("__at", "__side").rowsBetween(0, Window.unboundedFollowing))
+    so_far = lambda *order: F.last("__have", ignorenulls=True).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    back, ahead = so_far("__at", "__side"), so_far(F.col("__at").desc(), "__side")
     return points.withColumn("rate_date", F.coalesce(back, ahead)).where("__side = 1").select(F.col("__at").alias(request_date), "rate_date")
 
 

@@ -22,8 +22,8 @@ def per_source_then_best(facts: DataFrame, key: str, source: str, described: lis
         F.coalesce(F.sum(F.col(amount).cast("decimal(18,4)")).cast("double"), F.lit(NO_AMOUNT)).alias("priority"),
     )
     columns = [*described, "first_winner", "winners", "day"]
-    negative = F.struct("priority", F.transform(F.split(F.col(source).cast("string"), ""), lambda c: -F.ascii(c)))
-    best = per.groupBy(key).agg(F.max_by(F.struct(source, *columns), negative).alias("b"), F.max("priority").alias("p"))
+    order = F.struct((-F.col("priority")).alias("p"), F.col(source).isNull().alias("n"), F.col(source).alias("s"))
+    best = per.groupBy(key).agg(F.min_by(F.struct(source, *columns), order).alias("b"), F.max("priority").alias("p"))
     return best.select(key, f"b.{source}", *[f"b.{c}" for c in columns], F.nullif("p", F.lit(NO_AMOUNT)).alias("amount"))
 
 

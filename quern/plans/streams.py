@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..streaming import merge
 from .catalog import Tables, query
 
@@ -14,10 +15,7 @@ from .catalog import Tables, query
 def drained(t: Tables, shape, mode: str = "complete") -> DataFrame:
     """What a stream over the events gives once it has read them all."""
     events = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder) if not t.events.inputFiles()[0].rstrip("/").split("/")[-2].endswith(".parquet") else t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet")
-    name = f"quern_{uuid.uuid4().hex}"
-    running = shape(events).writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    running.awaitTermination()
-    return t.spark.table(name)
+    return merge.to_table(shape(events), f"{shared_dir(t.spark)}/quern-stream-{uuid.uuid4().hex}", mode)
 
 
 @query("t01_t02_mergeable_state", "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS labels FROM events GROUP BY 1")

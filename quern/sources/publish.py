@@ -18,11 +18,51 @@ def _files(spark: SparkSession, path: str) -> tuple:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, where = _files(spark, source)
+    if not fs.rename(where, _files(spark, target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _files(spark, path)
+    return bool(fs.exists(where))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _files(spark, path)
+    fs.delete(where, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends a swap that was broken off between two of its steps: a validated table that stands beside the target takes its
+    place, and what it replaced goes."""
+    coming, old = f"{path}.next", f"{path}.old"
+    if _exists(spark, coming):
+        if _exists(spark, path):
+            _delete(spark, old)
+            _move(spark, path, old)
+        _move(spark, coming, path)
+    if _exists(spark, path):
+        _delete(spark, old)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as last published, at any moment of a swap; None if there never was one."""
+    for where in (f"{path}.next", path, f"{path}.old"):
+        if _exists(spark, where):
+            return spark.read.parquet(where)
+    return None
+
+
 def swap(df: DataFrame, path: str, *, least_rows: int = 1, check: Callable[[DataFrame], None] | None = None) -> int:
     """Writes beside the target, validates what was written, then renames it into place; the old table goes last. A failed
-    check leaves the target as it was. Returns the rows published."""
+    check leaves the target as it was. Returns the rows published.
+
+    The table counts as published with its rename to `.next`. Whoever is broken off after that, `recover` or the next
+    swap ends it. Between the target's two renames only `current` sees the table."""
     spark = df.sparkSession
-    stage, old = f"{path}.stage-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(df.schema).parquet(stage)
     rows = staged.count()
@@ -32,17 +72,52 @@ def swap(df: DataFrame, path: str, *, least_rows: int = 1, check: Callable[[Data
         if check:
             check(staged)
     except Exception:
-        fs, where = _files(spark, stage)
-        fs.delete(where, True)
+        _delete(spark, stage)
         raise
-    fs, target = _files(spark, path)
-    if fs.exists(target):
-        fs.rename(target, _files(spark, old)[1])
-    fs.rename(_files(spark, stage)[1], target)
-    fs.delete(_files(spark, old)[1], True)
+    recover(spark, path)
+    _move(spark, stage, f"{path}.next")
+    recover(spark, path)
     return rows
 
 
+def recover_partitions(spark: SparkSession, path: str) -> None:
+    """Ends an exchange of partitions that was broken off: those in `_next` take the place of the target's."""
+    coming, old = f"{path}/_next", f"{path}/_old"
+    if _exists(spark, coming):
+        fs, where = _files(spark, coming)
+        fs.mkdirs(_files(spark, old)[1])
+        for found in fs.listStatus(where):
+            name = found.getPath().getName()
+            if "=" in name:
+                if _exists(spark, f"{path}/{name}"):
+                    _delete(spark, f"{old}/{name}")
+                    _move(spark, f"{path}/{name}", f"{old}/{name}")
+                _move(spark, f"{coming}/{name}", f"{path}/{name}")
+    _delete(spark, coming)
+    _delete(spark, old)
+    if _exists(spark, path):  # stages that were never finished
+        fs, where = _files(spark, path)
+        for found in fs.listStatus(where):
+            if found.getPath().getName().startswith("_stage-"):
+                fs.delete(found.getPath(), True)
+
+
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    if not _exists(spark, path):
+        return False
+    fs, where = _files(spark, path)
+    return any("=" in found.getPath().getName() for found in fs.listStatus(where))
+
+
+def swap_partitions(df: DataFrame, path: str, by: str) -> None:
+    """Exchanges the partitions that df has rows of for df's, all or, after `recover_partitions`, none; others stay."""
+    spark, stage = df.sparkSession, f"{path}/_stage-{uuid.uuid4().hex}"
+    recover_partitions(spark, path)
+    df.write.partitionBy(by).option("compression", "zstd").parquet(stage)
+    _move(spark, stage, f"{path}/_next")
+    recover_partitions(spark, path)
+
+
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Replaces just the partitions that df has rows of; never from an empty stage."""
     if df.isEmpty():

@@ -28,24 +28,74 @@ def merged(states: DataFrame, keys: list[str]) -> DataFrame:
     return states.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("labels")))).alias("labels"))
 
 
-def merge_stream(stream: DataFrame, target: str, checkpoint: str, keys: list[str], at: str, label: str) -> StreamingQuery:
-    """Keeps a table of seen windows. Each batch's partial states are merged with those of the keys that it touches and
-    replace the table in one swap; running a batch again gives the same table."""
+#: Parts of a merged table: a batch rewrites those that its keys fall into.
+BUCKETS = 64
 
-    def apply(batch: DataFrame, _: int) -> None:
+
+def merge_stream(stream: DataFrame, target: str, checkpoint: str, keys: list[str], at: str, label: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keeps a table of seen windows, dealt into buckets by key. Each batch's partial states are merged with those in the
+    buckets that it touches, and these buckets are exchanged; others are neither read nor written. Running a batch again,
+    or after it was broken off anywhere, gives the same table. Only a first batch may find no table."""
+
+    def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = seen_window(batch, keys, at, label)
+        publish.recover_partitions(spark, target)
+        fresh = seen_window(batch, keys, at, label).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
         try:
-            known = spark.read.parquet(target)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = None
-        publish.swap(merged(fresh if known is None else known.unionByName(fresh), keys), target, least_rows=0)
+            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # one of `buckets` numbers each
+            if not touched:
+                return
+            if publish.has_partitions(spark, target):
+                known = spark.read.schema(fresh.schema).parquet(target).where(F.col("bucket").isin(touched)).select(*fresh.columns)
+                fresh_and_known = known.unionByName(fresh)
+            elif number:
+                raise FileNotFoundError(f"{target} is gone, though batch {number} is not the first")
+            else:
+                fresh_and_known = fresh
+            publish.swap_partitions(merged(fresh_and_known, ["bucket", *keys]), target, "bucket")
+        finally:
+            fresh.unpersist()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def buffered(stream: DataFrame, folder: str, checkpoint: str, *, rows: int, seconds: float, attempts: int = 3) -> StreamingQuery:
+    """A sink that flushes what came in every so many seconds, in files of at most `rows` rows. A flush that fails is tried
+    again, into the same folder of its own, before the query fails; the query started anew takes it up where it was."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        for attempt in range(attempts):
+            try:
+                batch.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(f"{folder}/batch={number}")
+                return
+            except Exception:  # noqa: BLE001
+                if attempt + 1 == attempts:
+                    raise
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
+
+
+def refreshed(spark: SparkSession, make: Callable[[], DataFrame], path: str, checkpoint: str, seconds: float, least_rows: int = 1) -> StreamingQuery:
+    """Publishes a full snapshot anew at once and then every so many seconds; a stage below least_rows leaves the last one."""
+
+    def apply(_: DataFrame, __: int) -> None:
+        try:
+            publish.swap(make(), path, least_rows=least_rows)
+        except publish.EmptyStage:
+            pass
+
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return clock.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
+
+
+def to_table(stream: DataFrame, folder: str, mode: str) -> DataFrame:
+    """Runs a stream to the end of its input into a table in a folder, which each batch in complete mode replaces."""
+    write = "overwrite" if mode == "complete" else "append"
+    running = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode(write).parquet(f"{folder}/table")).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/table")
+
+
 def fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], folder: str, checkpoint: str) -> StreamingQuery:
     """One batch, many targets. A batch writes to folders named by its number, so a replay overwrites what it wrote
     before; it counts as done only after every sink has it."""

@@ -1,6 +1,7 @@
 """Edge cases of operators on small fixtures, and plans that must hold at scale."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,55 @@ def test_uncovered_against_brute_force(spark):
     assert got == {i for i, a, b, f in rows if not f or not any(not g and x <= b and y >= a for _, x, y, g in rows)}
 
 
+def test_uncovered_holds_on_one_long_history(spark):
+    """A frame that is worked out anew for each row takes minutes here."""
+    rows = spark.range(80_000).selectExpr("1 as k", "id as a", "id + 3 as b", "id % 5 <> 0 as fallback")
+    began = time.time()
+    assert intervals.uncovered(rows, ["k"], "a", "b", "fallback").count() == 16_001  # the last one reaches past all primaries
+    assert time.time() - began < 20
+
+
+def test_nearest_date_in_a_long_calendar(spark):
+    facts = spark.range(40_000).selectExpr("date_add(date'1950-01-01', cast(id as int)) as d", "'x' as ccy")
+    asked = spark.range(40_000).selectExpr("date_add(date'1949-12-01', cast(id as int)) as q")
+    began = time.time()
+    assert joins.nearest_common_date(asked, facts, "q", "d", "ccy", 1).where("rate_date <> greatest(q, date'1950-01-01')").count() == 0
+    assert time.time() - began < 20
+
+
+def test_a_tie_goes_to_the_lesser_source(spark):
+    facts = spark.createDataFrame([(1, s, "w", 5.0, D(2024, 1, 1)) for s in ("abc", "ab", "b")] + [(2, "z", "w", None, None)], "c int, source string, winner string, amount double, day date")
+    got = {r.c: (r.source, r.amount) for r in rollups.per_source_then_best(facts, "c", "source", [], "winner", "amount", "day").collect()}
+    assert got == {1: ("ab", 5.0), 2: ("z", None)}
+
+
+RULES = [("exact", "a.example.com"), ("prefix", "mail."), ("prefix", "m"), ("suffix", ".example.com"), ("suffix", "com"), ("contains", "xyz"), ("glob", "*.cdn*.net"), ("regex", "^w{3}[0-9]"), ("exists", ""), ("prefix", "A.Example.Com."), ("suffix", "net")]
+
+
+def test_best_rule_against_every_pair(spark):
+    table = spark.createDataFrame([(k, kind, p, (k * 7) % 5, 0.5 + 0.1 * (k % 2)) for k, (kind, p) in enumerate(RULES)], "rule_id int, kind string, pattern string, priority int, confidence double")
+    values = ["a.example.com", "A.EXAMPLE.COM.", "b.example.com", "example.com", "mail.xyz.org", "x.cdn7.net", "www1.org", "", None, "m", "com", "notexample.com", "net."]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id int, host string")
+    pairs = df.crossJoin(table).where(rules.matches(F.col("host"), F.col("kind"), F.col("pattern"))).collect()
+    want = {}
+    for r in sorted(pairs, key=lambda r: (-r.priority, -r.confidence, r.rule_id)):
+        want.setdefault(r.id, r.rule_id)
+    got = rules.best_rule(df, table, "host", ["id"])
+    assert {r.id: r.rule_id for r in got.collect()} == {k: want.get(k) for k in range(len(values))}
+
+
+def test_records_are_routed_by_type_and_place(spark):
+    rows = [
+        ("x.org", "A", "", "ip"), ("www.x.org", "AAAA", "", "ip"), ("mail.x.org", "A", "", None), ("x.org", "NS", "", "ns"), ("a.x.org", "NS", "", None), ("x.org", "SOA", "", "soa"), ("x.org", "MX", "", "mx"),
+        ("www.x.org", "CNAME", "", "cname"), ("k._domainkey.x.org", "CNAME", "", "dkim"), ("k._domainkey.x.org", "TXT", "v=spf1 -all", "dkim"), ("_dmarc.x.org", "TXT", "v=DMARC1", "dmarc"), ("_dmarc.x.org", "CNAME", "", None),
+        ("x.org", "TXT", '"v=spf1 -all"', "spf"), ("a.x.org", "TXT", "v=SPF1", "spf"), ("a.x.org", "TXT", "v=spf10", None), ("www.x.org", "TXT", "hello", None), ("x.org", "TXT", "hello", "txt"), ("_site.x.org", "TXT", "hello", "txt"),
+        ("_site.a.x.org", "TXT", "v=spf1 a", "spf"), ("notx.org", "TXT", "v=spf1", None), ("_dmarc.a.x.org", "TXT", "v=DMARC1", None), ("x.org", "TXT", None, "txt"),
+    ]
+    df = spark.createDataFrame([(k, n, t, v) for k, (n, t, v, _) in enumerate(rows)], "id int, name string, kind string, value string")
+    got = {r.id: r.a for r in df.select("id", rules.analyzer(F.col("name"), F.col("kind"), F.lit("x.org"), F.col("value")).alias("a")).collect()}
+    assert got == {k: r[3] for k, r in enumerate(rows)}
+
+
 def test_longest_prefix_has_no_nested_loop(spark):
     a = spark.range(100).selectExpr("id", "id + 167772160 as address")
     r = spark.createDataFrame([(167772160, 8, "x"), (167772160, 25, "y")], "network bigint, bits int, name string")

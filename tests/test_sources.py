@@ -1,6 +1,8 @@
 """Readers, publication and streams on files."""
 
 import datetime as dt
+import shutil
+import time
 import gzip
 import zipfile
 
@@ -101,6 +103,94 @@ def test_merge_stream_and_replay(spark, tmp_path):
     assert read() == expected
 
 
+class Broken(Exception):
+    pass
+
+
+def breaks_after(monkeypatch, steps):
+    """Renames and deletions end with an exception once `steps` of them are done."""
+    left = [steps]
+
+    def wrap(real):
+        def step(*args):
+            if not left[0]:
+                raise Broken
+            left[0] -= 1
+            return real(*args)
+
+        return step
+
+    for name in ("_move", "_delete"):
+        monkeypatch.setattr(publish, name, wrap(getattr(publish, name)))
+
+
+def test_a_swap_broken_off_anywhere_loses_nothing(spark, tmp_path):
+    for steps in range(9):
+        path = str(tmp_path / f"t{steps}")
+        publish.swap(spark.range(3), path)
+        with pytest.MonkeyPatch.context() as patch:
+            breaks_after(patch, steps)
+            try:
+                publish.swap(spark.range(7), path)
+                done = True
+            except Broken:
+                done = False
+        assert publish.current(spark, path).count() in ((7,) if done else (3, 7))
+        publish.recover(spark, path)
+        assert spark.read.parquet(path).count() == publish.current(spark, path).count()
+        assert publish.swap(spark.range(2), path) == 2 and spark.read.parquet(path).count() == 2
+    assert done
+
+
+def test_a_merge_broken_off_anywhere_loses_nothing(spark, tmp_path):
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    schema = events(spark, []).schema
+    for steps in (0, 1, 2, 3, 4, 5, 6, 8, 50):
+        source, target, checkpoint = (str(tmp_path / f"{x}{steps}") for x in ("in", "out", "c"))
+        run = lambda: merge.merge_stream(merge.folder_stream(spark, source, schema), target, checkpoint, ["user"], "ts", "kind", buckets=4).awaitTermination()  # noqa: B023, E731
+        events(spark, [(k, at(5), "a") for k in range(6)]).coalesce(1).write.parquet(source)
+        run()
+        events(spark, [(k, at(3), "b") for k in range(4)]).coalesce(1).write.mode("append").parquet(source)
+        with pytest.MonkeyPatch.context() as patch:
+            breaks_after(patch, steps)
+            try:
+                run()
+            except Exception:  # noqa: BLE001
+                assert steps < 50
+        run()
+        got = {(r.user, r.first_seen, r.last_seen, tuple(r.labels)) for r in spark.read.parquet(target).collect()}
+        assert got == {(k, at(3), at(5), ("a", "b")) for k in range(4)} | {(k, at(5), at(5), ("a",)) for k in (4, 5)}
+
+
+def test_a_lost_state_is_no_new_one(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / x) for x in ("in", "out", "c"))
+    schema = events(spark, []).schema
+    events(spark, [(1, dt.datetime(2024, 1, 1), "a")]).write.parquet(source)
+    run = lambda: merge.merge_stream(merge.folder_stream(spark, source, schema), target, checkpoint, ["user"], "ts", "kind").awaitTermination()
+    run()
+    shutil.rmtree(target)
+    events(spark, [(2, dt.datetime(2024, 1, 1), "a")]).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="is gone"):
+        run()
+
+
+def test_buffered_and_refreshed(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events(spark, [(k, dt.datetime(2024, 1, 1), "a") for k in range(10)]).coalesce(1).write.parquet(source)
+    running = merge.buffered(merge.folder_stream(spark, source, events(spark, []).schema), out, str(tmp_path / "c"), rows=4, seconds=0.2)
+    running.processAllAvailable()
+    running.stop()
+    files_ = list((tmp_path / "out").glob("batch=*/*.parquet"))
+    assert len(files_) == 3 and spark.read.parquet(out).count() == 10
+    made = []
+    running = merge.refreshed(spark, lambda: made.append(1) or spark.range([3, 0, 5][min(len(made), 3) - 1]), str(tmp_path / "snap"), str(tmp_path / "c2"), 0.2)
+    while len(made) < 4 and running.isActive:
+        time.sleep(0.1)
+    running.stop()
+    publish.recover(spark, str(tmp_path / "snap"))
+    assert spark.read.parquet(str(tmp_path / "snap")).count() == 5
+
+
 def test_fan_out(spark, tmp_path):
     source = str(tmp_path / "in")
     events(spark, [(1, dt.datetime(2024, 1, 1), "a"), (2, dt.datetime(2024, 1, 1), "b")]).write.parquet(source)
