@@ -53,7 +53,7 @@ def best_rule(values: DataFrame, rules: DataFrame, value: str, keys: list[str])
     hits = keyed.join(equal, ["kind", "__pattern"]).select(*columns).unionByName(distinct.drop("__plain").join(one_by_one, matches(F.col("__value"), F.col("kind"), F.col("pattern"))).select(*columns))
     order = F.struct((-F.col("priority")).alias("p"), (-F.col("confidence")).alias("c"), F.col("rule_id").alias("r"))
     best = hits.groupBy("__value").agg(F.min_by(F.struct(*rules.columns), order).alias("__best")).select("__value", "__best.*")
-    return values.join(best, values[value] == best["__value"], "left").drop("__value")
+    return values.join(best, values[value].eqNullSafe(best["__value"]), "left").drop("__value")
 
 
 #: Which analyzer reads records of which types in which places; `spf` asks for a text that is such a policy.
