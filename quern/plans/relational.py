@@ -275,29 +275,7 @@ def _(t: Tables) -> DataFrame:
     return joins.any_of_keys(t.customer, t.supplier, pairs, ["c_custkey", "s_suppkey"]).select("c_custkey", "s_suppkey")
 
 
-@query("j18_self_pairs", "SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS a, greatest(a.l_partkey, b.l_partkey) AS b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey WHERE a.l_quantity > 40 AND b.l_quantity > 40")
-def _(t: Tables) -> DataFrame:
-    return joins.pairs_within(t.lineitem.where("l_quantity > 40"), "l_orderkey", "l_partkey")
-
-
-def follows(t: Tables) -> DataFrame:
-    return t.lineitem.select((F.col("l_partkey") % 100).alias("source"), (F.col("l_suppkey") % 100).alias("target")).distinct()
-
-
-_FOLLOWS = "(SELECT DISTINCT l_partkey % 100 AS source, l_suppkey % 100 AS target FROM lineitem)"
-
-
-@query("j19_reciprocal_edges", f"WITH e AS {_FOLLOWS} SELECT x.source AS a, x.target AS b FROM e x JOIN e y ON x.source = y.target AND x.target = y.source WHERE x.source < x.target")
-def _(t: Tables) -> DataFrame:
-    return joins.reciprocal(follows(t), "source", "target")
-
-
-@query("j20_adjacency", f"WITH e AS {_FOLLOWS}, n AS (SELECT source AS seed, target AS node, 0 AS i, 1 AS o FROM e WHERE source IN (1, 2, 3) UNION ALL SELECT target, source, 1, 0 FROM e WHERE target IN (1, 2, 3)) SELECT seed, node, max(i) AS inbound, max(o) AS outbound, max(i) * max(o) AS reciprocal FROM n GROUP BY 1, 2")
-def _(t: Tables) -> DataFrame:
-    return joins.neighbours(follows(t), t.spark.createDataFrame([(1,), (2,), (3,)], "seed bigint"), "source", "target")
-
-
-@query("j18_self_pairs_whole", "SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS a, greatest(a.l_partkey, b.l_partkey) AS b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey")
+@query("j18_self_pairs", "SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS a, greatest(a.l_partkey, b.l_partkey) AS b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey")
 def _(t: Tables) -> DataFrame:
     return joins.pairs_within(t.lineitem, "l_orderkey", "l_partkey")
 
@@ -309,12 +287,12 @@ def links(t: Tables) -> DataFrame:
 _LINKS = "(SELECT DISTINCT l_partkey AS source, l_suppkey AS target FROM lineitem)"
 
 
-@query("j19_reciprocal_edges_whole", f"WITH e AS {_LINKS} SELECT x.source AS a, x.target AS b FROM e x JOIN e y ON x.source = y.target AND x.target = y.source WHERE x.source < x.target")
+@query("j19_reciprocal_edges", f"WITH e AS {_LINKS} SELECT x.source AS a, x.target AS b FROM e x JOIN e y ON x.source = y.target AND x.target = y.source WHERE x.source < x.target")
 def _(t: Tables) -> DataFrame:
     return joins.reciprocal(links(t), "source", "target")
 
 
-@query("j20_adjacency_whole", f"WITH e AS {_LINKS}, n AS (SELECT source AS seed, target AS node, 0 AS i, 1 AS o FROM e WHERE source IN (1, 2, 3) UNION ALL SELECT target, source, 1, 0 FROM e WHERE target IN (1, 2, 3)) SELECT seed, node, max(i) AS inbound, max(o) AS outbound, max(i) * max(o) AS reciprocal FROM n GROUP BY 1, 2")
+@query("j20_adjacency", f"WITH e AS {_LINKS}, n AS (SELECT source AS seed, target AS node, 0 AS i, 1 AS o FROM e WHERE source IN (1, 2, 3) UNION ALL SELECT target, source, 1, 0 FROM e WHERE target IN (1, 2, 3)) SELECT seed, node, max(i) AS inbound, max(o) AS outbound, max(i) * max(o) AS reciprocal FROM n GROUP BY 1, 2")
 def _(t: Tables) -> DataFrame:
     return joins.neighbours(links(t), t.spark.createDataFrame([(1,), (2,), (3,)], "seed bigint"), "source", "target")
 
@@ -518,22 +496,12 @@ def _(t: Tables) -> DataFrame:
 # Reshaping
 
 
-@query("r01_array_join", "SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents WHERE n_chars < 400) WHERE word <> ''")
-def _(t: Tables) -> DataFrame:
-    return t.documents.where("n_chars < 400").select("doc_id", F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
-
-
-@query("r02_zipped_position", "SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents WHERE n_chars < 600)")
-def _(t: Tables) -> DataFrame:
-    return t.documents.where("n_chars < 600").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", (F.col("pos") + 1).cast("bigint"))
-
-
-@query("r01_array_join_whole", "SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> ''")
+@query("r01_array_join", "SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> ''")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
 
 
-@query("r02_zipped_position_whole", "SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)")
+@query("r02_zipped_position", "SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 

@@ -33,16 +33,16 @@ def rows(spark, folder, name):
 
 
 def test_every_word(spark, folder):
-    assert rows(spark, folder, "r01_array_join_whole") == sorted((k, w) for k, x in TEXTS.items() for w in (x or "").split(" ") if w)
+    assert rows(spark, folder, "r01_array_join") == sorted((k, w) for k, x in TEXTS.items() for w in (x or "").split(" ") if w)
 
 
 def test_every_line(spark, folder):
-    assert rows(spark, folder, "r02_zipped_position_whole") == sorted((k, n, line) for k, x in TEXTS.items() if x is not None for n, line in enumerate(x.split("\n"), 1))
+    assert rows(spark, folder, "r02_zipped_position") == sorted((k, n, line) for k, x in TEXTS.items() if x is not None for n, line in enumerate(x.split("\n"), 1))
 
 
 def test_folds_whole_texts(spark, folder):
     fold = lambda x: x and "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).casefold()
-    got = {r.doc_id: r.folded for r in entry.queries()["f10_fold_accents_whole"](spark, folder).collect()}
+    got = {r.doc_id: r.folded for r in entry.queries()["f10_fold_accents"](spark, folder).collect()}
     assert got == {k: fold(x) for k, x in TEXTS.items()}
 
 
@@ -55,7 +55,7 @@ def neighbours(k):
 
 def test_neighbours_of_every_stated_query(spark, folder):
     want = neighbours(5)
-    assert rows(spark, folder, "o06_knn_whole") == sorted((q, j, n) for q in range(0, 230, 50) for n, j in enumerate(want[q], 1))
+    assert rows(spark, folder, "o06_knn") == sorted((q, j, n) for q in range(0, 230, 50) for n, j in enumerate(want[q], 1))
 
 
 def test_queries_in_blocks(spark, folder):
@@ -70,7 +70,7 @@ def test_whole_index(spark, folder):
     for x in TEXTS.values():
         for w in set((x or "").lower().split(" ")) - {""}:
             want[w] = want.get(w, 0) + 1
-    assert dict(rows(spark, folder, "v15_inverted_index_whole")) == want
+    assert dict(rows(spark, folder, "v15_inverted_index")) == want
 
 
 def test_whole_pairs_and_graph(spark, folder):
@@ -78,10 +78,10 @@ def test_whole_pairs_and_graph(spark, folder):
     pairs = {(p, q) for o, p, *_ in LINES for r, q, *_ in LINES if o == r and p < q}
     both = {(a, b) for a, b in edges if a < b and (b, a) in edges}
     assert both == {(1, 205), (1, 105)}
-    assert rows(spark, folder, "j18_self_pairs_whole") == sorted(pairs)
-    assert rows(spark, folder, "j19_reciprocal_edges_whole") == sorted(both)
+    assert rows(spark, folder, "j18_self_pairs") == sorted(pairs)
+    assert rows(spark, folder, "j19_reciprocal_edges") == sorted(both)
     near = {(x, n) for a, b in edges for x, n in ((a, b), (b, a)) if x in (1, 2, 3)}
-    assert rows(spark, folder, "j20_adjacency_whole") == sorted((x, n, int((n, x) in edges), int((x, n) in edges), int((n, x) in edges and (x, n) in edges)) for x, n in near)
-    assert rows(spark, folder, "d45_graph_validation_whole") == [(len(edges), 1, False)]
+    assert rows(spark, folder, "j20_adjacency") == sorted((x, n, int((n, x) in edges), int((x, n) in edges), int((n, x) in edges and (x, n) in edges)) for x, n in near)
+    assert rows(spark, folder, "d45_graph_validation") == [(len(edges), 1, False)]
     want = sorted((v, sum(v in p for p in both), sum(b == v for _, b in edges)) for v in {v for p in both for v in p})
-    assert rows(spark, folder, "d46_reciprocal_ranking_whole") == want
+    assert rows(spark, folder, "d46_reciprocal_ranking") == want
