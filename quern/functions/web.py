@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
@@ -68,7 +69,10 @@ def emails(s: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    return F.transform(all_matches(html, r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), lambda h: F.trim(h))
+    """Targets of links, quoted or not, with the character references that addresses are written with."""
+    decoded = lambda h: F.regexp_replace(F.regexp_replace(F.regexp_replace(h, "(?i)&(?:#x2f|#47|sol);", "/"), "(?i)&(?:#x3a|#58|colon);", ":"), "&amp;", "&")
+    found = all_matches(html, r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+    return F.transform(found, lambda h: F.trim(decoded(F.regexp_replace(h, "^[\"']|[\"']$", ""))))
 
 
 def socials(html: Column) -> Column:
@@ -234,8 +238,17 @@ def head_metadata(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["title", "description", "canonical", "hreflang", "charset"])
 
 
-# Schema.org types that name an organisation without the word.
-_LOCAL_BUSINESS = frozenset("localbusiness store restaurant hotel library school hospital dentist physician attorney notary corporation ngo airline".split())
+# What names an organisation in a schema.org type, and the types that do without it.
+_NAMES_ORGANISATION = re.compile(r"organization|localbusiness|corporation|\bngo\b|store|restaurant|\bcompany\b")
+_LOCAL_BUSINESS = frozenset(
+    "animalshelter automotivebusiness childcare dentist drycleaningorlaundry emergencyservice employmentagency entertainmentbusiness financialservice foodestablishment governmentoffice healthandbeautybusiness "
+    "homeandconstructionbusiness internetcafe legalservice library lodgingbusiness medicalbusiness professionalservice radiostation realestateagent recyclingcenter selfstorage shoppingcenter sportsactivitylocation "
+    "televisionstation touristinformationcenter travelagency autobodyshop autodealer autorental autorepair autowash gasstation motorcycledealer motorcyclerepair adultentertainment amusementpark artgallery casino comedyclub "
+    "movietheater nightclub accountingservice bankorcreditunion insuranceagency bakery barorpub brewery cafeorcoffeeshop distillery icecreamshop winery beautysalon dayspa hairsalon healthclub nailsalon tattooparlor electrician "
+    "generalcontractor hvacbusiness housepainter locksmith movingcompany plumber roofingcontractor attorney notary bedandbreakfast campground hostel hotel motel resort dermatology hospital medicalclinic optician pharmacy "
+    "physician physiotherapy veterinarycare bowlingalley exercisegym golfcourse publicswimmingpool skiresort sportsclub stadiumorarena tenniscomplex florist hobbyshop pawnshop tireshop airline consortium collegeoruniversity "
+    "school elementaryschool highschool middleschool preschool newsmediaorganization onlinebusiness sportsteam workersunion".split()
+)
 
 
 def _entities(document: str) -> list[dict]:
@@ -252,7 +265,7 @@ def _entities(document: str) -> list[dict]:
             if kinds or isinstance(node.get("@id"), str):
                 plain = [k.rstrip("/").replace("#", "/").rsplit("/", 1)[-1].lower() for k in kinds]
                 name = node.get("name")
-                out.append({"path": path, "id": node.get("@id") if isinstance(node.get("@id"), str) else "", "types": kinds, "name": name if isinstance(name, str) else "", "organization": any("organization" in k or k in _LOCAL_BUSINESS for k in plain)})
+                out.append({"path": path, "id": node.get("@id") if isinstance(node.get("@id"), str) else "", "types": kinds, "name": name if isinstance(name, str) else "", "organization": any(_NAMES_ORGANISATION.search(k) is not None or k in _LOCAL_BUSINESS for k in plain)})
             todo += [(f"{path}/{k.replace('~', '~0').replace('/', '~1')}", node[k]) for k in sorted(node, reverse=True) if k != "@context"]
         elif isinstance(node, list):
             todo += [(f"{path}/{k}", v) for k, v in reversed(list(enumerate(node)))]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import net, web
@@ -24,44 +24,107 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.explode(web.emails(F.col("text"))).alias("email"))
 
 
-@query("d04_socials", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'linkedin,twitter' WHEN 1 THEN 'youtube' ELSE '' END AS platforms FROM pages")
+def cases(key: Column, values: list[str]) -> Column:
+    """values[key % len(values)]"""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
+
+
+def sql_cases(key: str, values: list[str]) -> str:
+    quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return f"([{quoted}])[CAST({key} % {len(values)} + 1 AS INTEGER)]"
+
+
+FOOTERS = [
+    '<a class="s" href="https://WWW.LinkedIn.com/company/a">in</a><a href=" http://x.com/a">x</a>',
+    "<a href='https://youtu.be/abc'>v</a>",
+    '<a href="https://netflix.com/x.com">n</a><a href="/github.com">g</a>',
+    "<a rel=me href=https://m.facebook.com/p>f</a><a href=https://fb.com>f</a>",
+    '<a HREF = "https:&#x2F;&#47;user@github.com:443/a&amp;b">g</a><a href="https://notgithub.com">n</a>',
+    '<a href="https://www.tiktok.com/@a?x=pinterest.com">t</a><b href="https://pinterest.com">p</b>',
+]
+
+
+@query(
+    "d04_socials",
+    rf"""WITH h AS (SELECT page_id, html || {sql_cases("page_id", FOOTERS)} AS html FROM pages),
+    l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)) AS link FROM h),
+    x AS (SELECT page_id, lower(regexp_extract(trim(replace(replace(trim(link, '"'''), '&#x2F;', '/'), '&#47;', '/')), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host FROM l),
+    k AS (SELECT * FROM (VALUES {", ".join(f"('{h}', '{p}')" for h, p in web.SOCIAL_HOSTS.items())}) AS v(known, platform)),
+    f AS (SELECT page_id, string_agg(DISTINCT platform, ',' ORDER BY platform) AS platforms FROM x JOIN k ON host = known OR ends_with(host, '.' || known) GROUP BY 1)
+    SELECT pages.page_id AS page_id, coalesce(platforms, '') AS platforms FROM pages LEFT JOIN f ON f.page_id = pages.page_id""",
+)
 def _(t: Tables) -> DataFrame:
-    k = F.col("page_id") % 3
-    footer = F.when(k == 0, '<a class="s" href="https://WWW.LinkedIn.com/company/a">in</a><a href=" http://x.com/a">x</a>').when(k == 1, "<a href='https://youtu.be/abc'>v</a>").otherwise('<a href="https://netflix.com/x.com">n</a>')
-    return t.pages.select("page_id", F.array_join(web.socials(F.concat("html", footer)), ",").alias("platforms"))
+    return t.pages.select("page_id", F.array_join(web.socials(F.concat("html", cases(F.col("page_id"), FOOTERS))), ",").alias("platforms"))
 
 
-@query("d05_head_metadata", "SELECT page_id, regexp_extract(html, 'charset=\"([^\"]*)\"', 1) AS charset FROM pages")
+@query(
+    "d05_head_metadata",
+    """SELECT page_id, regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '^\\s+|\\s+$', '', 'g') AS title,
+    CASE WHEN page_id % 2 = 0 THEN 'About ' || url ELSE '' END AS description, CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS canonical, 'en-gb,fr' AS hreflang, regexp_extract(html, 'charset="([^"]*)"', 1) AS charset FROM pages""",
+)
 def _(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", web.head_metadata("html").alias("head")).select("page_id", "head.charset")
+    about = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<META NAME="Description" content=" About '), "url", F.lit(' "><meta name=description content=later>'))).otherwise("")
+    canonical = F.when(F.col("page_id") % 3 == 0, "").otherwise(F.concat(F.lit("<link rel='Canonical nofollow' href='"), "url", F.lit("'><link rel=canonical href=/later>")))
+    extra = F.concat(F.lit('</title><meta charset="later">'), about, canonical, F.lit('<link rel=alternate hreflang="EN-gb" href="/en"><link rel=alternate hreflang=fr href="/fr"><link rel=alternate href=/feed>'))
+    pages = t.pages.select("page_id", F.regexp_replace("html", "</title>", "\u0001").alias("html"), "url")
+    pages = pages.select("page_id", F.replace("html", F.lit("\u0001"), extra).alias("html"))
+    head = pages.select("page_id", web.head_metadata("html").alias("head"))
+    return head.select("page_id", "head.title", "head.description", "head.canonical", F.array_join("head.hreflang", ",").alias("hreflang"), "head.charset")
+
+
+TYPES = ['"Organization"', '"https://schema.org/ClothingStore"', '"Person"', '["Thing","Plumber"]', '"schema:NGO"', '"Bakery"', '"WebSite"', '"FastFoodRestaurant"']
+IS_ORGANISATION = "page_id % 8 NOT IN (2, 6)"
 
 
 def with_jsonld(t: Tables) -> DataFrame:
-    """Pages with a JSON-LD block about a made-up organisation put into their head."""
-    block = F.concat(F.lit('<script type="application/ld+json">{"@context":"https://schema.org","@graph":[{"@type":"Organization","name":"Org '), F.col("page_id").cast("string"), F.lit('","leiCode":"5493001KJTIIGC8Y1R12"},{"@id":"x","address":{"@type":"PostalAddress"}}]}</script></head>'))
+    """Pages with a JSON-LD block about their own host put into their head."""
+    block = F.concat(F.lit('<script type="application/ld+json">{"@context":"https://schema.org","@graph":[{"@type":'), cases(F.col("page_id"), TYPES), F.lit(',"name":"'), net.host_of(F.col("url")), F.lit('","leiCode":"'), cases(F.col("page_id"), LEIS), F.lit('"},{"@id":"x","address":{"@type":"PostalAddress"}}]}</script></head>'))
     return t.pages.select("page_id", F.replace("html", F.lit("</head>"), block).alias("html"))
 
 
-@query("d06_d07_jsonld_entities", "SELECT page_id, '/@graph/0' AS path, 'Org ' || page_id AS name, true AS organization FROM pages UNION ALL SELECT page_id, '/@graph/1', '', false FROM pages UNION ALL SELECT page_id, '/@graph/1/address', '', false FROM pages")
+_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1))"
+#: One that passes its checksum, in either case, and one that does not.
+LEIS = ["5493001KJTIIGC8Y1R12", "5493001kjtiigc8y1r12", "5493001KJTIIGC8Y1R13"]
+
+
+@query("d06_d07_jsonld_entities", f"SELECT page_id, '/@graph/0' AS path, {_HOST} AS name, {IS_ORGANISATION} AS organization FROM pages UNION ALL SELECT page_id, '/@graph/1', '', false FROM pages UNION ALL SELECT page_id, '/@graph/1/address', '', false FROM pages")
 def _(t: Tables) -> DataFrame:
     found = with_jsonld(t).select("page_id", F.explode(web.jsonld_entities("html")).alias("e"))
     return found.select("page_id", "e.path", "e.name", "e.organization")
 
 
-@query("d08_leis", "SELECT page_id, '5493001KJTIIGC8Y1R12' AS lei, true AS valid, 'jsonld' AS source FROM pages")
+@query("d08_leis", "SELECT page_id, CASE WHEN page_id % 3 = 2 THEN '5493001KJTIIGC8Y1R13' ELSE '5493001KJTIIGC8Y1R12' END AS lei, page_id % 3 <> 2 AS valid, 'jsonld' AS source FROM pages UNION ALL SELECT page_id, '529900T8BM49AURSDO55', true, 'text' FROM pages WHERE page_id % 2 = 0")
 def _(t: Tables) -> DataFrame:
-    return with_jsonld(t).select("page_id", F.explode(web.leis(F.col("html"))).alias("x")).select("page_id", F.col("x.value").alias("lei"), "x.valid", "x.source")
+    bare = F.when(F.col("page_id") % 2 == 0, "<p>LEI 529900T8BM49AURSDO55, not 529900T8BM49AURSDO56</p>").otherwise("<p>529900t8bm49aursdo55</p>")
+    return with_jsonld(t).select("page_id", F.explode(web.leis(F.concat("html", bare))).alias("x")).select("page_id", F.col("x.value").alias("lei"), "x.valid", "x.source")
+
+
+#: Numbers of the form of their countries; those of Germany and Italy pass their checksums.
+VATS = ["DE136695976", "ATU13585627", "DK13585628", "FI20774740", "LU15027442", "IT00743110157", "PL8567346215", "PT501964843", "SI50223054", "HU12892312", "EL094259216", "SE556188840401", "BE0411905847"]
 
 
-@query("d09_vats", "SELECT s_suppkey, s_suppkey % 2 = 0 AS found FROM supplier")
+@query("d09_vats", f"SELECT s_suppkey, CASE WHEN s_suppkey // {len(VATS)} % 2 = 0 THEN {sql_cases('s_suppkey', VATS)} ELSE '' END AS vat FROM supplier")
 def _(t: Tables) -> DataFrame:
-    line = F.concat(F.lit("VAT id DE13669597"), F.when(F.col("s_suppkey") % 2 == 0, "6").otherwise("5"), F.lit(" of the firm"))
-    return t.supplier.select("s_suppkey", (F.size(web.vats(line)) == 1).alias("found"))
+    number = cases(F.col("s_suppkey"), VATS)
+    next_digits = F.concat(F.left(number, F.length(number) - 3), F.format_string("%03d", (F.right(number, F.lit(3)).cast("int") + 1) % 1000))
+    spoilt = F.when(F.left(number, F.lit(2)).isin("DE", "IT"), next_digits).otherwise(F.left(number, F.length(number) - 1))  # a wrong check digit, or one too few
+    line = F.concat(F.lit("VAT id "), F.when((F.col("s_suppkey") / len(VATS)).cast("int") % 2 == 0, number).otherwise(spoilt), F.lit(" of the firm, XX123456789"))
+    return t.supplier.select("s_suppkey", F.array_join(web.vats(line), ",").alias("vat"))
 
 
-@query("d10_trackers", "SELECT page_id, k AS kind, v AS value FROM pages, (VALUES ('ga', 'G-ABC123XYZ'), ('gtm', 'GTM-K9XJ2'), ('hotjar', '1234567')) AS x(k, v)")
+#: Each kind as its tag has it, and the account id in it.
+TAGS = {
+    "ga": ("gtag('config','G-ABC123XYZ');gtag('G-ABC123XYZ')", "G-ABC123XYZ"), "ua": ("ga('create','UA-12345-1')", "UA-12345-1"), "gtm": ("load('GTM-K9XJ2')", "GTM-K9XJ2"), "adsense": ("client=ca-pub-1234567890123456", "ca-pub-1234567890123456"),
+    "fb_pixel": ("fbq('init', '1234567890123')", "1234567890123"), "hotjar": ("var hjid: 1234567", "1234567"), "linkedin_insight": ('_linkedin_partner_id = "123456"', "123456"), "yandex_metrika": ("ym(7654321, 'init')", "7654321"),
+    "mixpanel": ("mixpanel.init('0123456789abcdef0123456789abcdef')", "0123456789abcdef0123456789abcdef"), "tiktok_pixel": ("ttq.load('ABCDEF1234567890ABCD')", "ABCDEF1234567890ABCD"), "pinterest_tag": ("pintrk('load', '2612345678901')", "2612345678901"),
+    "snap_pixel": ("snaptr('init', '01234567-89ab-cdef-0123-456789abcdef')", "01234567-89ab-cdef-0123-456789abcdef"), "segment": ('analytics.load("AbCdEf123456")', "AbCdEf123456"), "clarity": ("https://www.clarity.ms/tag/abcd1234ef", "abcd1234ef"),
+}
+
+
+@query("d10_trackers", f"SELECT page_id, k AS kind, v AS value FROM pages, (VALUES {', '.join(f'({n}, $${k}$$, $${v}$$)' for n, (k, (_, v)) in enumerate(TAGS.items()))}) AS x(n, k, v) WHERE page_id % 3 = n % 3")
 def _(t: Tables) -> DataFrame:
-    tagged = F.concat("html", F.lit("<script>gtag('G-ABC123XYZ');gtag('G-ABC123XYZ');load('GTM-K9XJ2');var hjid: 1234567;</script>"))
+    tags = [";".join(tag for n, (tag, _) in enumerate(TAGS.values()) if n % 3 == k) for k in range(3)]
+    tagged = F.concat("html", F.lit("<script>"), cases(F.col("page_id"), tags), F.lit("</script>"))
     return t.pages.select("page_id", F.explode(web.trackers(tagged)).alias("x")).select("page_id", "x.kind", "x.value")
 
 
@@ -72,11 +135,12 @@ def _(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", web.phone(raw, F.lit("firma.de")).alias("phone"))
 
 
-@query("d12_page_signals", "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'for_sale' WHEN 1 THEN 'default_server' WHEN 2 THEN 'under_construction' ELSE '' END AS signal FROM nation")
+SIGNALS = [("You can BUY this domain. Under construction", "for_sale"), ("Welcome to nginx!", "default_server"), ("This site is under construction", "under_construction"), ("hello", ""), ("Index of /pub\nParent Directory", "directory_listing"), ("The page is parked free with us", "parking_provider"), ("Apache2 Ubuntu Default Page", "default_server")]
+
+
+@query("d12_page_signals", f"SELECT page_id, {sql_cases('page_id', [s for _, s in SIGNALS])} AS signal FROM pages")
 def _(t: Tables) -> DataFrame:
-    k = F.col("n_nationkey") % 4
-    words = F.when(k == 0, "You can BUY this domain. Under construction").when(k == 1, "Welcome to nginx!").when(k == 2, "This site is under construction").otherwise("hello")
-    return t.nation.select("n_nationkey", web.page_signal(words).alias("signal"))
+    return t.pages.select("page_id", web.page_signal(F.concat(cases(F.col("page_id"), [w for w, _ in SIGNALS]), F.lit(" "), "html")).alias("signal"))
 
 
 @query("d18_literal_gate", "SELECT doc_id FROM documents WHERE regexp_matches(text, 'version [0-9]|Version [0-9]')")
