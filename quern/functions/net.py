@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import ipaddress
+import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -72,6 +73,30 @@ def registrable(host: Column) -> Column:
     return F.when(ipv4_number(host).isNotNull() | (F.size(part) < 2), "").otherwise(F.coalesce(named, F.lit("")))
 
 
+def registrable_by(hosts: DataFrame, host: str, suffixes: DataFrame, suffix: str) -> DataFrame:
+    """hosts with `registrable`: the domain one label below the public suffix by a list of them, a table with a rule a row.
+
+    Rules are as in the public suffix list: a plain suffix, `*.` before one for any label below it, `!` before a name that
+    such a rule doesn't hold for. An exception prevails, else the longest rule, else the last label is the suffix. Empty for
+    addresses, bare suffixes and nulls. Each distinct host meets the rules by equality on its own label suffixes."""
+    part = F.split(F.regexp_replace(F.lower(F.col("__host")), r"\.$", ""), r"\.")
+    distinct = hosts.select(F.col(host).alias("__host")).where(F.col(host).isNotNull()).distinct().withColumn("__part", part)
+    last = lambda n: F.array_join(F.slice("__part", -n, n), ".")
+    ways = F.flatten(F.transform(F.sequence(F.lit(1), F.size("__part")), lambda n: F.array(F.struct(last(n).alias("rule"), n.alias("n"), F.lit(None).cast("int").alias("not")), F.struct(F.concat(F.lit("!"), last(n)).alias("rule"), F.lit(None).cast("int").alias("n"), (n - 1).alias("not")), F.struct(F.when(n > 1, F.concat(F.lit("*."), last(n - 1))).alias("rule"), n.alias("n"), F.lit(None).cast("int").alias("not")))))
+    met = distinct.select("__host", F.explode(ways).alias("way")).select("__host", "way.*").join(suffixes.select(F.lower(F.col(suffix)).alias("rule")).distinct(), "rule")
+    found = met.groupBy("__host").agg(F.coalesce(F.max("not"), F.max("n")).alias("__n"))
+    known = distinct.join(found, "__host", "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
+    name = F.when(ipv4_number(F.col("__host")).isNull() & ~F.contains("__host", F.lit(":")) & (F.size("__part") > F.col("__n")), F.array_join(F.slice("__part", -(F.col("__n") + 1), F.col("__n") + 1), "."))
+    return hosts.join(known.select("__host", name.alias("registrable")), hosts[host] == F.col("__host"), "left").drop("__host").withColumn("registrable", F.coalesce("registrable", F.lit("")))
+
+
+def identifier(name: str) -> str:
+    """A name that may be put into SQL as it stands; anything else is refused."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]{0,127}", name):
+        raise ValueError(f"{name!r} is no identifier")
+    return name
+
+
 def under(host: Column, root: Column) -> Column:
     return (host == root) | host.endswith(F.concat(F.lit("."), root))
 

@@ -36,6 +36,23 @@ def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", net.registrable(net.host_of(F.col("url"))).alias("domain"))
 
 
+SUFFIXES = ["org", "com", "net", "example.com", "*.example.net", "!blog.ththan.example.net"]
+_NAMED = "lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1))"
+
+
+@query(
+    "f07_registrable_by_list",
+    f"""WITH h AS (SELECT DISTINCT {_NAMED} AS host, string_split({_NAMED}, '.') AS part FROM pages), r AS (SELECT unnest({SUFFIXES}) AS rule),
+    w AS (SELECT host, n, array_to_string(part[-n:], '.') AS own, '*.' || array_to_string(part[-n + 1:], '.') AS star FROM (SELECT host, part, unnest(range(1, len(part) + 1)) AS n FROM h)),
+    f AS (SELECT host, max(CASE WHEN rule = '!' || own THEN n - 1 END) AS exempt, max(CASE WHEN rule = own OR (n > 1 AND rule = star) THEN n END) AS longest FROM w JOIN r ON rule IN (own, '!' || own) OR (n > 1 AND rule = star) GROUP BY 1),
+    g AS (SELECT h.host AS host, part, coalesce(exempt, longest, 1) AS n FROM h LEFT JOIN f ON f.host = h.host)
+    SELECT page_id, CASE WHEN len(part) > n THEN array_to_string(part[-n - 1:], '.') ELSE '' END AS registrable FROM pages JOIN g ON g.host = {_NAMED}""",
+)
+def _(t: Tables) -> DataFrame:
+    suffixes = t.spark.createDataFrame([(x,) for x in SUFFIXES], "suffix string")
+    return net.registrable_by(t.pages.select("page_id", net.host_of(F.col("url")).alias("host")), "host", suffixes, "suffix").select("page_id", "registrable")
+
+
 @query("f08_squash_key", "SELECT p_partkey, lower(regexp_replace(p_brand, '[^\\p{L}\\p{N}]', '', 'g')) AS k, regexp_replace(p_brand, '[^0-9]', '', 'g') AS digits, upper(trim(p_name)) AS city FROM part")
 def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", text.squash_key(F.col("p_brand")).alias("k"), text.digits(F.col("p_brand")).alias("digits"), text.city_key(F.col("p_name")).alias("city"))

@@ -104,6 +104,20 @@ def test_records_are_routed_by_type_and_place(spark):
     assert got == {k: r[3] for k, r in enumerate(rows)}
 
 
+def test_registrable_domains_by_a_list(spark):
+    rules_ = spark.createDataFrame([(x,) for x in ("com", "kr", "co.kr", "github.io", "*.ck", "!www.ck", "*.kawasaki.jp", "!city.kawasaki.jp", "jp")], "suffix string")
+    want = {"a.b.co.kr": "b.co.kr", "x.kr": "x.kr", "me.github.io": "me.github.io", "a.me.github.io.": "me.github.io", "github.io": "", "b.ck": "", "a.b.ck": "a.b.ck", "www.ck": "www.ck", "x.www.ck": "www.ck", "x.city.kawasaki.jp": "city.kawasaki.jp", "a.b.kawasaki.jp": "a.b.kawasaki.jp", "x.unknown": "x.unknown", "com": "", "A.COM": "a.com", "10.0.0.1": "", "": "", None: ""}
+    hosts = spark.createDataFrame(list(enumerate(want)), "id int, host string")
+    assert {r.host: r.registrable for r in net.registrable_by(hosts, "host", rules_, "suffix").collect()} == want
+
+
+def test_identifiers():
+    assert net.identifier("a_1") == "a_1"
+    for bad in ("", "1a", "a b", "a;drop", "a" * 200, "é"):
+        with pytest.raises(ValueError):
+            net.identifier(bad)
+
+
 def test_longest_prefix_has_no_nested_loop(spark):
     a = spark.range(100).selectExpr("id", "id + 167772160 as address")
     r = spark.createDataFrame([(167772160, 8, "x"), (167772160, 25, "y")], "network bigint, bits int, name string")
