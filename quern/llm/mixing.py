@@ -7,6 +7,7 @@ of those rows and are not stored."""
 
 from __future__ import annotations
 
+import json
 import math
 import warnings
 import zlib
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .storage import materialize
 
-MAX_LABELLED, MAX_WORDS, LEAST_DOCS, PARTS = 8192, 256, 8, 64
+#: Labelled rows used at most, the chance that any feature is kept by accident, and entries of a map that is searched.
+MAX_LABELLED, CHANCE, ENTRIES = 8192, 0.01, 4
 STEPS, TOLERANCE = 40, 1e-6
 
 
@@ -53,19 +55,22 @@ class Classifier:
             scores = F.array(*[F.lit(p) for p in self.prior])
         else:
             names = sorted(self.odds)
-            vocabulary = F.array(*[F.lit(w) for w in names])
-            nothing = {"": [0.0] * len(self.domains)}
-            parts = [nothing | {w: self.odds[w] for w in names if zlib.crc32(w.encode()) % PARTS == k} for k in range(PARTS)]
+            n = -(-len(names) // ENTRIES)
+            parts: list[dict[str, list[float]]] = [{"": [0.0] * len(self.domains)} for _ in range(n)]
+            for w in names:
+                parts[zlib.crc32(w.encode()) % n][w] = self.odds[w]
             # maps are searched from end to end, so words are dealt over many small ones
-            table = F.array(*[F.create_map(*[x for w, odds in part.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in odds]))]) for part in parts])
-            seen = F.array_intersect(features(F.array_distinct(words)), vocabulary)
-            scores = F.aggregate(seen, F.array(*[F.lit(p) for p in self.prior]), lambda total, w: F.zip_with(total, F.element_at(F.element_at(table, (F.crc32(w) % PARTS + 1).cast("int")), w), lambda a, b: a + b))
+            table = F.from_json(F.lit(json.dumps(parts)), "array<map<string,array<double>>>")  # folded into one constant
+            place = lambda w: F.element_at(table, (F.crc32(w) % n + 1).cast("int"))
+            found = F.transform(F.array_distinct(features(F.array_distinct(words))), lambda w: F.element_at(place(w), w))
+            scores = F.aggregate(F.array_compact(found), F.array(*[F.lit(p) for p in self.prior]), lambda total, odds: F.zip_with(total, odds, lambda a, b: a + b))
         above = let(scores, lambda s: let(F.array_max(s), lambda most: F.transform(s, lambda x: F.exp(x - most))))
         return let(above, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda whole: F.transform(e, lambda x: x / whole)))
 
 
 def fit_classifier(labelled: DataFrame, domains: list[str], *, text_col: str = "text", domain_col: str = "domain") -> Classifier:
-    """labelled is a bounded sample. At most MAX_WORDS rows for each domain reach the driver."""
+    """labelled is a bounded sample, and so are the features that reach the driver: all whose documents stray from the
+    domains' shares by more than any feature would by accident."""
     rows = labelled.where(F.col(domain_col).isin(domains)).select(F.col(domain_col).alias("domain"), F.array_distinct(features(words_of(F.col(text_col)))).alias("words"))
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
@@ -73,10 +78,12 @@ def fit_classifier(labelled: DataFrame, domains: list[str], *, text_col: str = "
     if not total:
         return Classifier(domains, prior, {})
     counts = [F.count(F.when(F.col("domain") == d, 1)).alias(f"c{k}") for k, d in enumerate(domains)]
-    table = rows.select("domain", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"), *counts).where(F.col("n") >= LEAST_DOCS)
+    table = rows.select("domain", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"), *counts)
     # how far a word's documents stray from the domains' shares, as chi-squared
     chi = sum(((F.col(f"c{k}") - F.col("n") * F.lit(sizes.get(d, 0) / total)) ** 2) / (F.col("n") * F.lit(max(sizes.get(d, 0), 0.5) / total)) for k, d in enumerate(domains))
-    kept = table.orderBy(chi.desc(), "word").limit(MAX_WORDS).collect()
+    table = materialize(table.withColumn("chi", chi))
+    free, surprise = max(len(domains) - 1, 1), math.log(max(table.count(), 1) / CHANCE)
+    kept = table.where(F.col("chi") > free + 2 * math.sqrt(free * surprise) + 2 * surprise).orderBy("word").collect()  # Laurent and Massart's bound on the tail
     odds = {}
     for r in kept:
         chance = [(r[f"c{k}"] + 0.1) / (sizes.get(d, 0) + 0.2) for k, d in enumerate(domains)]
