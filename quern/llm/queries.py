@@ -26,16 +26,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a file that one task reads well.
+SPLIT = 128 << 20
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, dealt over all cores if it has fewer files than there are cores, and they are so small that
+    Spark would not split them: texts take far longer to work on than to move."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return df.repartition(cores) if size <= cores * SPLIT else df
+
+
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages"))
+    return html_extract.extract(texts(spark, sf_dir, "pages"))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return near_dedup.near_duplicates(texts(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path(), capacity=1024, end_id=2)
+    return packing.pack(texts(spark, sf_dir, "documents"), tokenizer=tokenizer_path(), capacity=1024, end_id=2)
 
 
 def held_out(id_col: str, parts: int, part: int) -> F.Column:
@@ -52,30 +68,30 @@ LANGUAGE_SAMPLE = 2000
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     out = langid.predict(docs, language_model(docs))
     return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "languages")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality.quality_filter(table(spark, sf_dir, "documents"))
+    out = quality.quality_filter(texts(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(texts(spark, sf_dir, "documents"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     carry = {"size": (F.octet_length(text) + 8).cast("bigint"), "text_crc32": F.crc32(text)}
-    out = sharding.assign_shards(table(spark, sf_dir, "documents"), weights=[1.0] * SHARDS, carry=carry)
+    out = sharding.assign_shards(texts(spark, sf_dir, "documents"), weights=[1.0] * SHARDS, carry=carry)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
-    out = toxicity.score_texts(table(spark, sf_dir, "documents"), labels)
+    out = toxicity.score_texts(texts(spark, sf_dir, "documents"), labels)
     return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "evidence")
 
 
@@ -86,12 +102,12 @@ def domains_of(labels: DataFrame) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mixing.mix(docs, domains_of(labels), DOMAIN_TARGETS, anchor="clean", carry=["doc_id", "source"])
 
 
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprint.fingerprints(texts(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
