@@ -109,15 +109,26 @@ def classified(t: Tables) -> DataFrame:
     return vectors.classify(t.embeddings, prototypes(t), id_col="vec_id", vector_col="embedding", code_col="label", reference_col="v")
 
 
-@query("d13_vector_classification")
+_RANKED = """u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS v FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+    p AS (SELECT label, list(x ORDER BY i) AS m FROM (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM u) GROUP BY 1, 2) GROUP BY 1),
+    r AS (SELECT label AS code, list_transform(m, lambda x: x / sqrt(list_dot_product(m, m))) AS w FROM p),
+    s AS (SELECT vec_id, code, round(list_dot_product(v, w), 9) AS score FROM u, r),
+    k AS (SELECT vec_id, list(code ORDER BY score DESC, code) AS codes, list(score ORDER BY score DESC, code) AS scores FROM s GROUP BY 1)"""
+
+
+@query("d13_vector_classification", f"WITH {_RANKED} SELECT vec_id, codes[1] AS code, round(scores[1] - scores[2], 6) AS margin, scores[1] - scores[2] >= 0.03 OR len(list_distinct(list_transform(codes[1:3], lambda x: x // 10))) = 1 AS confident, array_to_string(codes[1:3], ',') AS top3 FROM k")
 def _(t: Tables) -> DataFrame:
     consensus = F.size(F.array_distinct(F.transform("top", lambda x: F.floor(x["code"] / 10)))) == 1
-    return classified(t).select("vec_id", F.col("top")[0]["code"].alias("code"), "margin", ((F.col("margin") >= 0.03) | consensus).alias("confident"), F.transform("top", lambda x: x["code"]).alias("top3"))
+    return classified(t).select("vec_id", F.col("top")[0]["code"].alias("code"), F.round("margin", 6).alias("margin"), ((F.col("margin") >= 0.03) | consensus).alias("confident"), F.array_join(F.transform("top", lambda x: x["code"].cast("string")), ",").alias("top3"))
 
 
-@query("d14_robust_confidence")
+@query(
+    "d14_robust_confidence",
+    f"""WITH {_RANKED}, a AS (SELECT vec_id, scores, list_median(scores) AS middle FROM k), b AS (SELECT *, greatest(list_median(list_transform(scores, lambda x: abs(x - middle))), 0.000001) AS spread FROM a)
+    SELECT vec_id, round(1 / list_sum(list_transform(scores[1:10], lambda x: exp((x - scores[1]) / spread))), 6) AS confidence FROM b""",
+)
 def _(t: Tables) -> DataFrame:
-    return classified(t).select("vec_id", "confidence")
+    return classified(t).select("vec_id", F.round("confidence", 6).alias("confidence"))
 
 
 @query("d17_quantisation", "WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, list_max(list_transform(CAST(embedding AS DOUBLE[]), lambda x: abs(x))) / 127 AS s FROM embeddings) SELECT vec_id, round(list_cosine_similarity(e, list_transform(e, lambda x: round(x / s) * s)), 6) AS agreement FROM q")
@@ -301,12 +312,17 @@ def _(t: Tables) -> DataFrame:
     return rollups.state_changes(before, after, "k")
 
 
-@query("d33_d34_person_groups")
+@query(
+    "d33_d34_person_groups",
+    """WITH p AS (SELECT 'supplier' AS source, 'Dr. ' || s_name AS name FROM supplier UNION ALL SELECT 'customer', c_name FROM customer),
+    n AS (SELECT *, list_sort(list_distinct(list_filter(string_split(lower(regexp_replace(name, '[^A-Za-z]', ' ', 'g')), ' '), lambda x: x NOT IN ('', 'dr')))) AS tokens FROM p),
+    g AS (SELECT source, tokens, arg_max(name, (length(name), name)) AS name, count(*) AS rows FROM n GROUP BY 1, 2) SELECT source, array_to_string(tokens, ' ') AS tokens, name, rows, count(*) OVER (PARTITION BY tokens) >= 2 AS in_scope FROM g""",
+)
 def _(t: Tables) -> DataFrame:
     people = t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("supplier").alias("source"), F.concat(F.lit("Dr. "), "s_name").alias("name")).unionByName(t.customer.select(F.col("c_custkey").alias("id"), F.lit("customer").alias("source"), F.col("c_name").alias("name")))
     tokens = people.withColumn("tokens", text.person_tokens("name"))
     groups = tokens.groupBy("source", "tokens").agg(F.max_by("name", F.struct(F.length("name"), "name")).alias("name"), F.count("*").alias("rows"))
-    return groups.withColumn("in_scope", F.count("*").over(Window.partitionBy("tokens")) >= 2)
+    return groups.withColumn("in_scope", F.count("*").over(Window.partitionBy("tokens")) >= 2).withColumn("tokens", F.array_join("tokens", " "))
 
 
 @query("d35_match_gap", "SELECT DISTINCT least(a.c_custkey, b.c_custkey) AS a, greatest(a.c_custkey, b.c_custkey) AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE NOT EXISTS (SELECT 1 FROM orders o JOIN orders p ON o.o_orderpriority = p.o_orderpriority AND o.o_orderdate = p.o_orderdate WHERE o.o_custkey = a.c_custkey AND p.o_custkey = b.c_custkey)")
