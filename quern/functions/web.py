@@ -229,6 +229,12 @@ def content_text(pages: pd.Series) -> pd.Series:
 _TEXTS = T.ArrayType(T.StringType())
 
 
+def closed_references(html: Column) -> Column:
+    """The page with each ampersand that starts no character reference closed by a semicolon written as a reference, so
+    that parsers read it as it stands."""
+    return F.regexp_replace(html, "&(?!#?[0-9A-Za-z]+;)", "&amp;")
+
+
 @pandas_udf(T.StructType([T.StructField(n, _TEXTS if n == "hreflang" else T.StringType()) for n in ("title", "description", "canonical", "hreflang", "charset")]))
 def head_metadata(pages: pd.Series) -> pd.DataFrame:
     rows = []
