@@ -76,10 +76,10 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     order among equal ids is by text. An empty table gives an empty result; other columns are ignored."""
     rows = with_next(docs, id_col, text_col)
     canon = rows.withColumn("edited", edited(F.col("text"), F.col("next"))).withColumn("canon", canonical(F.col("edited")))
-    table = materialize(canon.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "f", digest(F.col("canon")).alias("e"), "x", "fs", F.sha2("canon", 256).alias("es"), "xs"))
+    table = materialize(canon.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "f", digest(F.col("canon")).alias("e"), "x", "fs", F.sha2("canon", 256).alias("es"), "xs"), drop_shuffles=True)
     both = table.select("f", "fs").unionByName(table.select(F.col("e").alias("f"), F.col("es").alias("fs")))
     met = both.groupBy("f").agg(F.min("fs").alias("lo"), F.max("fs").alias("hi")).where("lo <> hi").select("f")
-    clashes = materialize(differing(docs.select(canonical(F.col(text_col)).alias("canon"))).unionByName(met).distinct())
+    clashes = materialize(differing(docs.select(canonical(F.col(text_col)).alias("canon"))).unionByName(met).distinct(), drop_shuffles=True)
     return _named(table, None if clashes.isEmpty() else clashes.select(F.col("f").alias("bad")))
 
 
